@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions.syntax import code_facts
 from pairloom.functions.text import strip, tokenize_code, wrap_fragment
+from pairloom.operators.rows import open_structs
 
 LENGTH_LIMIT = 150  # fixed value: longest request, code or action list that is kept
 
@@ -20,7 +21,7 @@ def with_facts(df: DataFrame, code: str, *want: str, wrap: bool = False, slots:
 
 def action_rows(df: DataFrame, *keep: str) -> DataFrame:
     """One row per action, with its step from 0."""
-    return df.select(*keep, F.posexplode("actions").alias("step", "a")).select(*keep, "step", "a.*")
+    return open_structs(df, "actions", *keep, pos="step")
 
 
 def action_words(actions: str = "actions") -> Column:

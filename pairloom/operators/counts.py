@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 from pairloom.functions.arrays import ngrams, shared_distinct
+from pairloom.operators.rows import open_list
 
 
 def token_rows(df: DataFrame, tokens: str, *keep: str, token: str = "token", pos: str = "pos") -> DataFrame:
     """One row per token with its position from 0."""
-    return df.select(*keep, F.posexplode(tokens).alias(pos, token))
+    return open_list(df, tokens, *keep, item=token, pos=pos)
 
 
 def token_counts(df: DataFrame, tokens: str) -> DataFrame:
-    return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+    return open_list(df, tokens).groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
 
 
 def first_seen(df: DataFrame, tokens: str, order: Sequence[str]) -> DataFrame:
@@ -24,8 +26,17 @@ def first_seen(df: DataFrame, tokens: str, order: Sequence[str]) -> DataFrame:
 
 
 def first_seen_rows(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    first = F.min(F.struct(*order, "pos")).alias("first")
-    return rows.groupBy("token").agg(F.count(F.lit(1)).alias("freq"), first)
+    """``first`` only serves as an order.
+
+    With one whole-number row key it is packed with the position into a decimal, which a hash
+    aggregate can keep in place; a struct would make Spark sort every token row instead.
+    """
+    if len(order) == 1 and isinstance(rows.schema[order[0]].dataType, LongType | IntegerType):
+        row = (F.col(order[0]).cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)")).cast("decimal(38,0)")
+        place = (row + F.col("pos").cast("decimal(10,0)")).cast("decimal(38,0)")
+    else:
+        place = F.struct(*order, "pos")
+    return rows.groupBy("token").agg(F.count(F.lit(1)).alias("freq"), F.min(place).alias("first"))
 
 
 def vocabulary_stats(counts: DataFrame, cutoff: int) -> DataFrame:
@@ -63,7 +74,7 @@ def threshold_counts(df: DataFrame, length: Column, limits: Sequence[int] = (100
 
 def ngram_counts(df: DataFrame, tokens: str, width: int, include_last: bool = False) -> DataFrame:
     """Frequency of each window of ``width`` items; the last window of a sequence only on request."""
-    grams = df.select(F.explode(ngrams(tokens, width, include_last)).alias("gram"))
+    grams = open_list(df, ngrams(tokens, width, include_last), item="gram")
     return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("freq"))
 
 
@@ -89,4 +100,4 @@ def overlap_total(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def overlap_types(df: DataFrame, a: str, b: str) -> DataFrame:
     """Distinct tokens that some row shares between its two sides."""
-    return df.select(F.explode(shared_distinct(a, b)).alias("token")).distinct()
+    return open_list(df, shared_distinct(a, b)).select("token").distinct()

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from pairloom.operators.counts import first_seen_rows, token_rows
 from pairloom.operators.lookup import lookup_join
 from pairloom.operators.numbering import number_rows
-from pairloom.session import materialize
 
 # The first ids, in order, and the word that closes a run of primitives.
 SPECIALS = ("[PAD]", "<s>", "</s>", "<unk>")
@@ -24,7 +23,7 @@ def vocabulary(df: DataFrame, tokens: str, order: Sequence[str], cutoff: int = 1
 
 
 def vocabulary_of_rows(rows: DataFrame, order: Sequence[str], cutoff: int = 1) -> DataFrame:
-    """word, id, freq of token rows (order columns, pos, token) as a stage table.
+    """word, id, freq of token rows (order columns, pos, token), read from a stage table.
 
     Specials first, then words by falling frequency (ties by first appearance), then the closing word
     unless it was ranked.
@@ -34,14 +33,11 @@ def vocabulary_of_rows(rows: DataFrame, order: Sequence[str], cutoff: int = 1) -
     ranked = number_rows(seen, [F.desc("freq"), F.asc("first")], "id", start=len(SPECIALS)).select(
         F.col("token").alias("word"), F.col("id").cast("bigint").alias("id"), "freq"
     )
-    tail = ranked.agg(F.max("id").alias("last"), F.count_if(F.col("word") == CLOSER).alias("has"))
-    closing = tail.where("has = 0").select(
-        F.lit(CLOSER).alias("word"),
-        (F.coalesce("last", F.lit(len(SPECIALS) - 1)) + 1).cast("bigint").alias("id"),
-        F.lit(0).cast("bigint").alias("freq"),
-    )
-    specials = spark.createDataFrame([(w, i, 0) for i, w in enumerate(SPECIALS)], "word string, id bigint, freq bigint")
-    return materialize(specials.unionByName(ranked).unionByName(closing), "vocabulary")
+    last, closed = ranked.agg(F.max("id"), F.count_if(F.col("word") == CLOSER)).first()
+    fixed = [(word, i, 0) for i, word in enumerate(SPECIALS)]
+    if not closed:
+        fixed.append((CLOSER, (len(SPECIALS) - 1 if last is None else last) + 1, 0))
+    return spark.createDataFrame(fixed, "word string, id bigint, freq bigint").unionByName(ranked)
 
 
 def merge_vocabulary(vocab: DataFrame, other: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pairloom.functions.arrays import sort_by_length as longest_first
 from pairloom.functions.text import array_text, tokenize_ws
 from pairloom.operators import batching, counts, runs, splits, vocab
 from pairloom.operators.lookup import lookup_join
+from pairloom.operators.rows import open_list
 from pairloom.plans import sql
 from pairloom.plans.queries_rows import docs_vocabulary
 from pairloom.plans.registry import query
@@ -175,7 +176,7 @@ FEATURES = f"""{sql.TPAIRS},
 
 def pair_features(spark: SparkSession, folder: str) -> DataFrame:
     pairs = views.token_pairs(spark, folder)
-    types = pairs.select(F.explode("snippet_tokens").alias("token")).where(
+    types = open_list(pairs, "snippet_tokens").select("token").where(
         ~F.col("token").rlike("[A-Za-z0-9]") & F.col("token").rlike(r"\A[\x21-\x7e]\z")
     )
     rules = materialize(vocab.category_codes(types, "token", "rule_id").withColumn("rule_id", F.col("rule_id") + 1), "rules")

@@ -85,13 +85,16 @@ def threshold_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def grams_sql(width: int) -> str:
-    return f"""{sql.DOCS},
+    ahead = ", ".join(f"lead(token, {i}) over w as g{i}" for i in range(width + 1))
+    items = ", ".join(f"g{i}" for i in range(width))
+    return f"""{sql.DOCS}, {sql.TOKS},
+    shifted as (select {ahead} from toks window w as (partition by doc_id order by pos)),
     grams as (
-      select tokens[i:i + {width} - 1] as gram, count(*) as freq
-      from (select tokens, unnest(range(1, len(tokens) - {width} + 1)) as i from docs) group by gram)"""
+      select {" || ' ' || ".join(f"g{i}" for i in range(width))} as gram, count(*) as freq
+      from shifted where g{width} is not null group by {items})"""
 
 
-@query("ngram_counts", f"with {grams_sql(3)} select {sql.joined('gram')} as gram, freq from grams")
+@query("ngram_counts", f"with {grams_sql(3)} select gram, freq from grams")
 def ngram_counts(spark: SparkSession, folder: str) -> DataFrame:
     grams = counts.ngram_counts(views.docs(spark, folder), "tokens", 3)
     return grams.select(counts.gram_text(3).alias("gram"), "freq")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pairloom.functions import slots as s, text as t, values as v
 from pairloom.functions.arrays import sort_by_length
 from pairloom.operators.metrics import error_table as errors_of
+from pairloom.operators.rows import open_structs
 from pairloom.operators.runs import expand_grid
 from pairloom.plans import sql
 from pairloom.plans.registry import query
@@ -66,8 +67,8 @@ def slots_intent(spark: SparkSession, folder: str) -> DataFrame:
     ) x(slot, quote, type)""",
 )
 def slot_type(spark: SparkSession, folder: str) -> DataFrame:
-    entries = views.quoted_requests(spark, folder).select("p_partkey", F.explode(s.slot_entries("intent")).alias("e"))
-    return entries.select("p_partkey", "e.slot", "e.quote", "e.type")
+    entries = open_structs(views.quoted_requests(spark, folder), s.slot_entries("intent"), "p_partkey")
+    return entries.select("p_partkey", "slot", "quote", "type")
 
 
 @query(

@@ -9,6 +9,7 @@ from pyspark.sql.types import ArrayType, MapType, StringType, StructField, Struc
 
 from pairloom.functions.text import sentence_line
 from pairloom.operators.numbering import number_chunked
+from pairloom.operators.rows import open_list
 from pairloom.session import materialize
 
 
@@ -92,7 +93,7 @@ def write_sentences(df: DataFrame, tokens: str, path: str) -> None:
 
 def write_tokens(df: DataFrame, tokens: str, path: str) -> None:
     """One token per line."""
-    df.select(F.explode(tokens).alias("value")).write.text(path)
+    open_list(df, tokens, item="value").select("value").write.text(path)
 
 
 def write_results(errors: DataFrame, path: str, run: Sequence[str] = ("dataset", "model", "beam")) -> None:
