@@ -18,43 +18,45 @@ def ngrams(tokens: Column | str, width: int, include_last: bool = True) -> Colum
     return F.arrays_zip(*[F.slice(items, F.lit(i + 1), count) for i in range(width)])
 
 
+def bind(value: Column, use) -> Column:
+    """Work ``value`` out once per row and hand it to ``use``; a lambda would work it out per item."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _next(items: Column, last: Column) -> Column:
+    """Each item's successor; ``last`` follows the last one."""
+    return F.concat(F.slice(items, F.lit(2), F.greatest(F.size(items) - 1, F.lit(0))), F.array(last))
+
+
+def _run_starts(ordered: Column) -> Column:
+    """Places, from 0, at which a sorted list changes its value."""
+    before = F.concat(F.slice(ordered, 1, 1), F.slice(ordered, F.lit(1), F.greatest(F.size(ordered) - 1, F.lit(0))))
+    changed = F.zip_with(ordered, before, lambda item, prior: item != prior)
+    return F.array_compact(F.transform(changed, lambda new, i: F.when(new | (i == 0), i)))
+
+
 def group_positions(tokens: Column | str) -> Column:
     """Per distinct item its ascending positions: array<struct<item, positions>>, in item order.
 
-    One in-row sort; the runs of equal items are then cut out by their start.
+    One in-row sort, then the runs of equal items are cut out; no shuffle, n log n in the row.
     """
     items = _col(tokens)
-    ranked = F.sort_array(F.transform(items, lambda t, i: F.struct(t.alias("item"), i.alias("pos"))))
-    packed = F.array(F.struct(ranked.alias("s"), F.size(items).alias("n")))
-
-    def cut(row: Column) -> Column:
-        sorted_items, n = row["s"], row["n"]
-        starts = F.filter(
-            F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")),
-            lambda i: (i == 0) | (sorted_items[i]["item"] != sorted_items[F.greatest(i - 1, F.lit(0))]["item"]),
-        )
-        bounded = F.array(F.struct(starts.alias("b"), sorted_items.alias("s"), n.alias("n")))
-        return F.flatten(
-            F.transform(
-                bounded,
-                lambda r: F.transform(
-                    r["b"],
-                    lambda start, k: F.struct(
-                        r["s"][start]["item"].alias("item"),
-                        F.transform(
-                            F.slice(
-                                r["s"],
-                                start + 1,
-                                F.coalesce(F.get(r["b"], k + 1), r["n"]) - start,
-                            ),
-                            lambda x: x["pos"],
-                        ).alias("positions"),
-                    ),
-                ),
-            )
-        )
+    places = F.when(F.size(items) > 0, F.sequence(F.lit(0), F.size(items) - 1)).otherwise(F.array().cast("array<int>"))
+    ranked = F.sort_array(F.zip_with(items, places, lambda t, i: F.struct(t.alias("item"), i.alias("pos"))))
+
+    def cut(cells: Column) -> Column:
+        words, positions = cells["words"], cells["positions"]
+        starts = cells["starts"]
+        spans = F.zip_with(starts, _next(starts, F.size(words)), lambda a, b: F.slice(positions, a + 1, b - a))
+        heads = F.transform(starts, lambda a: words[a])
+        return F.zip_with(heads, spans, lambda h, p: F.struct(h.alias("item"), p.alias("positions")))
 
-    return F.flatten(F.transform(packed, cut))
+    def split(pairs: Column) -> Column:
+        words = pairs.getField("item")
+        cells = F.struct(words.alias("words"), pairs.getField("pos").alias("positions"), _run_starts(words).alias("starts"))
+        return bind(cells, cut)
+
+    return bind(ranked, split)
 
 
 def shared_distinct(a: Column | str, b: Column | str) -> Column:
@@ -62,45 +64,63 @@ def shared_distinct(a: Column | str, b: Column | str) -> Column:
 
 
 def quoted_singles(tokens: Column | str, quote: str = "`") -> Column:
-    """Pair up the positions of the quote token in order; count pairs with exactly one token between."""
-    spots = F.filter(
-        F.transform(_col(tokens), lambda t, i: F.when(t == quote, i)), lambda p: p.isNotNull()
-    )
-    boxed = F.array(spots)
-    return F.flatten(
-        F.transform(
-            boxed,
-            lambda s: F.filter(s, lambda p, i: (i % 2 == 0) & (F.coalesce(F.get(s, i + 1), p) - p == 2)),
-        )
+    """Pair up the positions of the quote token in order; keep pairs with exactly one token between."""
+    spots = F.array_compact(F.transform(_col(tokens), lambda t, i: F.when(t == quote, i)))
+
+    def singles(s: Column) -> Column:
+        gaps = F.zip_with(_next(s, F.lit(None).cast("int")), s, lambda after, at: after - at)
+        return F.filter(gaps, lambda gap, i: (i % 2 == 0) & (gap == 2))
+
+    return bind(spots, singles)
+
+
+_SEPARATOR = "\x1f"
+_TARGET, _CANDIDATE = "0", "1"
+
+
+def joinable(tokens: Column | str) -> Column:
+    """Tokens in which the separator of joined windows cannot occur; different tokens stay different."""
+
+    def escaped(t: Column) -> Column:
+        doubled = F.replace(t, F.lit("\\"), F.lit("\\\\"))
+        return F.replace(doubled, F.lit(_SEPARATOR), F.lit("\\s"))
+
+    return F.transform(
+        _col(tokens),
+        lambda t: F.when(F.contains(t, F.lit(_SEPARATOR)) | F.contains(t, F.lit("\\")), escaped(t)).otherwise(t),
     )
 
 
 def clipped_matches(candidate: Column | str, target: Column | str, width: int) -> Column:
     """Windows of the candidate that also occur in the target, each at most as often as it does there.
 
-    Windows of both sides are sorted together, the target's first; one pass then lets each candidate
-    window use up one equal target window. Work is n log n in the row and nothing is shuffled.
+    Both sides must be ``joinable``. Windows of both sides are sorted together, each marked with its
+    side, so that equal windows are two neighbouring runs, the target's first; the shorter run of the
+    two counts. Work is n log n in the row and nothing is shuffled.
     """
 
-    def sided(items: Column, side: int) -> Column:
-        grams = ngrams(items, width)
-        return F.arrays_zip(grams, F.array_repeat(F.lit(side), F.size(grams)))
-
-    merged = F.sort_array(F.concat(sided(_col(target), 0), sided(_col(candidate), 1)))
-    gram_type = "struct<" + ",".join(f"`{i}`:string" for i in range(width)) + ">"
-    start = F.struct(F.lit(None).cast(gram_type).alias("gram"), F.lit(0).alias("left"), F.lit(0).alias("hits"))
-
-    def step(state: Column, x: Column) -> Column:
-        same = x["0"].eqNullSafe(state["gram"])
-        left = F.when(same, state["left"]).otherwise(F.lit(0))
-        from_target = x["1"] == 0
-        return F.struct(
-            x["0"].alias("gram"),
-            F.when(from_target, left + 1).otherwise(F.greatest(left - 1, F.lit(0))).alias("left"),
-            F.when(~from_target & (left > 0), state["hits"] + 1).otherwise(state["hits"]).alias("hits"),
+    def marked(items: Column | str, side: str) -> Column:
+        parts = [str(i) for i in range(width)]
+        return F.transform(
+            ngrams(items, width), lambda g: F.concat_ws(_SEPARATOR, *[g[p] for p in parts], F.lit(side))
+        )
+
+    def runs(cells: Column) -> Column:
+        windows, starts = cells["windows"], cells["starts"]
+        heads = F.transform(starts, lambda i: windows[i])
+        lengths = F.zip_with(starts, _next(starts, F.size(windows)), lambda a, b: b - a)
+        twins = F.zip_with(
+            heads,
+            _next(heads, F.lit("")),
+            lambda head, after: F.endswith(head, F.lit(_TARGET))
+            & (F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(_CANDIDATE)) == after),
         )
+        shorter = F.zip_with(lengths, _next(lengths, F.lit(0)), lambda a, b: F.least(a, b))
+        hits = F.zip_with(twins, shorter, lambda twin, n: F.when(twin, n).otherwise(F.lit(0)))
+        return F.aggregate(hits, F.lit(0), lambda total, n: total + n)
 
-    return F.aggregate(merged, start, step, lambda state: state["hits"])
+    merged = F.sort_array(F.concat(marked(target, _TARGET), marked(candidate, _CANDIDATE)))
+    return bind(merged, lambda w: bind(F.struct(w.alias("windows"), _run_starts(w).alias("starts")), runs))
 
 
 def pad_to(ids: Column | str, length: Column, pad: int = 0) -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from pairloom.functions.arrays import bind
 from pairloom.functions.text import _col, strip
 
 # A term between two equal quotes; the empty pair '' counts as a quote too.
@@ -22,11 +23,6 @@ OPENERS = ("{", "(", "[")
 CLOSERS = ("}", ")", "]")
 
 
-def _with(value: Column, use) -> Column:
-    """Evaluate ``value`` once per row and hand it to ``use``."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _replace_each(c: Column, pairs: Column, old, new) -> Column:
     """Replace one pair after the other, in order; an empty search text changes nothing."""
     return F.aggregate(pairs, c, lambda text, p: F.replace(text, old(p), new(p)))
@@ -63,7 +59,7 @@ def slot_entries(c: Column | str) -> Column:
 
         return F.transform(terms, entry)
 
-    return _with(typed, numbered)
+    return bind(typed, numbered)
 
 
 def slot_text(c: Column | str, entries: Column) -> Column:
@@ -135,7 +131,7 @@ def query_text(c: Column | str, slots: Column, variables: Column | None = None)
         named = F.filter(known, lambda e: F.startswith(e["slot"], F.lit("var_")))
         return _replace_each(replaced, named, lambda e: e["literal"], lambda e: e["slot"])
 
-    return _with(slots, fill)
+    return bind(slots, fill)
 
 
 def entry_map(entries: Column, key: str, value: str) -> Column:
@@ -150,7 +146,7 @@ def entry_map(entries: Column, key: str, value: str) -> Column:
             ),
         )
 
-    pairs = F.transform(_with(entries, last_only), lambda e: F.struct(e[key].alias("k"), e[value].alias("v")))
+    pairs = F.transform(bind(entries, last_only), lambda e: F.struct(e[key].alias("k"), e[value].alias("v")))
     return F.map_from_entries(pairs)
 
 

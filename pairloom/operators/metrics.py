@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.functions.arrays import clipped_matches
+from pairloom.functions.arrays import clipped_matches, joinable
 
 MAX_WIDTH = 4
 
@@ -17,8 +17,14 @@ def join_predictions(truth: DataFrame, predictions: DataFrame, keys: Sequence[st
     return joined.withColumn(prediction, F.coalesce(prediction, F.array().cast("array<string>")))
 
 
-def bleu_columns(candidate: str, target: str) -> list[Column]:
-    """Sums that corpus BLEU needs, as aggregates: matches and windows per width, and both lengths."""
+def scorable(df: DataFrame, candidate: str, target: str, *keep: str) -> DataFrame:
+    """keep, candidate, target with tokens made joinable once, ahead of all window widths."""
+    return df.select(*keep, joinable(candidate).alias("candidate"), joinable(target).alias("target"))
+
+
+def bleu_columns() -> list[Column]:
+    """Sums that corpus BLEU needs over ``scorable`` rows: matches and windows per width, and both lengths."""
+    candidate, target = F.col("candidate"), F.col("target")
     sums = []
     for width in range(1, MAX_WIDTH + 1):
         sums.append(F.sum(clipped_matches(candidate, target, width)).alias(f"match_{width}"))
@@ -37,9 +43,10 @@ def bleu_value() -> Column:
     return F.when(matched, F.exp(logs) * F.exp(brevity)).otherwise(F.lit(0.0))
 
 
-def corpus_bleu(df: DataFrame, candidate: str, target: str) -> DataFrame:
-    """Unsmoothed corpus BLEU-4 with one target per row; one aggregate, nothing but its sums is shuffled."""
-    return df.agg(*bleu_columns(candidate, target)).select(bleu_value().alias("bleu"))
+def corpus_bleu(df: DataFrame, candidate: str, target: str, *by: str) -> DataFrame:
+    """Unsmoothed corpus BLEU-4 with one target per row; nothing but the sums of each task is shuffled."""
+    sums = scorable(df, candidate, target, *by).groupBy(*by).agg(*bleu_columns())
+    return sums.select(*by, bleu_value().alias("bleu"))
 
 
 def exact_match(df: DataFrame, candidate: str, target: str) -> DataFrame:
@@ -50,8 +57,8 @@ def evaluation(df: DataFrame, candidate: str, target: str, metric: str = "BLEU")
     """Both scores times 100 in one pass, the chosen one first."""
     if metric not in ("BLEU", "accuracy"):
         raise ValueError(f"unknown metric {metric!r}")
-    hits = F.avg((F.col(candidate) == F.col(target)).cast("double")).alias("accuracy")
-    scores = df.agg(*bleu_columns(candidate, target), hits).select(
+    hits = F.avg((F.col("candidate") == F.col("target")).cast("double")).alias("accuracy")
+    scores = scorable(df, candidate, target).agg(*bleu_columns(), hits).select(
         (bleu_value() * 100).alias("BLEU"), (F.col("accuracy") * 100).alias("accuracy")
     )
     other = "accuracy" if metric == "BLEU" else "BLEU"

@@ -170,12 +170,11 @@ def corpus_bleu(spark: SparkSession, folder: str) -> DataFrame:
 def copy_bleu(spark: SparkSession, folder: str) -> DataFrame:
     pairs = views.token_pairs(spark, folder)
     sides = F.array(
-        F.struct(F.lit("intent").alias("candidate"), F.col("intent_tokens").alias("c"), F.col("snippet_tokens").alias("t")),
-        F.struct(F.lit("snippet").alias("candidate"), F.col("snippet_tokens").alias("c"), F.col("intent_tokens").alias("t")),
+        F.struct(F.lit("intent").alias("side"), F.col("intent_tokens").alias("c"), F.col("snippet_tokens").alias("t")),
+        F.struct(F.lit("snippet").alias("side"), F.col("snippet_tokens").alias("c"), F.col("intent_tokens").alias("t")),
     )
     both = pairs.select(F.inline(sides))
-    sums = both.groupBy("candidate").agg(*metrics.bleu_columns("c", "t"))
-    return sums.select("candidate", F.round(metrics.bleu_value(), 9).alias("bleu"))
+    return metrics.corpus_bleu(both, "c", "t", "side").select(F.col("side").alias("candidate"), F.round("bleu", 9).alias("bleu"))
 
 
 @query("exact_match", f"with {sql.PREDS} select round(avg((truth = prediction)::int), 9) as accuracy from preds")
