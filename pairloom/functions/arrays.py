@@ -23,40 +23,35 @@ def bind(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _next(items: Column, last: Column) -> Column:
-    """Each item's successor; ``last`` follows the last one."""
-    return F.concat(F.slice(items, F.lit(2), F.greatest(F.size(items) - 1, F.lit(0))), F.array(last))
+# The two in-row algorithms below are written as SQL text: as one parsed expression they cost one call
+# to the JVM, where the same tree built node by node costs a few hundred.
 
 
-def _run_starts(ordered: Column) -> Column:
-    """Places, from 0, at which a sorted list changes its value."""
-    before = F.concat(F.slice(ordered, 1, 1), F.slice(ordered, F.lit(1), F.greatest(F.size(ordered) - 1, F.lit(0))))
-    changed = F.zip_with(ordered, before, lambda item, prior: item != prior)
-    return F.array_compact(F.transform(changed, lambda new, i: F.when(new | (i == 0), i)))
+def _let(name: str, value: str, body: str) -> str:
+    """SQL: work ``value`` out once per row and use it by name in ``body``."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def group_positions(tokens: Column | str) -> Column:
-    """Per distinct item its ascending positions: array<struct<item, positions>>, in item order.
+def _next(items: str, last: str) -> str:
+    """SQL: each item's successor; ``last`` follows the last one."""
+    return f"concat(slice({items}, 2, greatest(size({items}) - 1, 0)), array({last}))"
 
-    One in-row sort, then the runs of equal items are cut out; no shuffle, n log n in the row.
-    """
-    items = _col(tokens)
-    places = F.when(F.size(items) > 0, F.sequence(F.lit(0), F.size(items) - 1)).otherwise(F.array().cast("array<int>"))
-    ranked = F.sort_array(F.zip_with(items, places, lambda t, i: F.struct(t.alias("item"), i.alias("pos"))))
 
-    def cut(cells: Column) -> Column:
-        words, positions = cells["words"], cells["positions"]
-        starts = cells["starts"]
-        spans = F.zip_with(starts, _next(starts, F.size(words)), lambda a, b: F.slice(positions, a + 1, b - a))
-        heads = F.transform(starts, lambda a: words[a])
-        return F.zip_with(heads, spans, lambda h, p: F.struct(h.alias("item"), p.alias("positions")))
+def _run_starts(ordered: str) -> str:
+    """SQL: places, from 0, at which a sorted list changes its value."""
+    prior = f"concat(slice({ordered}, 1, 1), slice({ordered}, 1, greatest(size({ordered}) - 1, 0)))"
+    return f"array_compact(transform(zip_with({ordered}, {prior}, (x, p) -> x <> p), (new, i) -> if(new or i = 0, i, null)))"
 
-    def split(pairs: Column) -> Column:
-        words = pairs.getField("item")
-        cells = F.struct(words.alias("words"), pairs.getField("pos").alias("positions"), _run_starts(words).alias("starts"))
-        return bind(cells, cut)
 
-    return bind(ranked, split)
+def group_positions(tokens: str) -> Column:
+    """Per distinct item its ascending positions: array<struct<item, positions>>, in item order.
+
+    One in-row sort, then the runs of equal items are cut out; no shuffle, n log n in the row.
+    """
+    places = f"if(size(`{tokens}`) > 0, sequence(0, size(`{tokens}`) - 1), cast(array() as array<int>))"
+    ranked = f"sort_array(zip_with(`{tokens}`, {places}, (t, i) -> named_struct('item', t, 'pos', i)))"
+    spans = f"zip_with(s, {_next('s', 'size(r)')}, (a, b) -> named_struct('item', r[a].item, 'positions', slice(r.pos, a + 1, b - a)))"
+    return F.expr(_let("r", ranked, _let("s", _run_starts("r.item"), spans)))
 
 
 def shared_distinct(a: Column | str, b: Column | str) -> Column:
@@ -68,7 +63,8 @@ def quoted_singles(tokens: Column | str, quote: str = "`") -> Column:
     spots = F.array_compact(F.transform(_col(tokens), lambda t, i: F.when(t == quote, i)))
 
     def singles(s: Column) -> Column:
-        gaps = F.zip_with(_next(s, F.lit(None).cast("int")), s, lambda after, at: after - at)
+        following = F.slice(s, F.lit(2), F.greatest(F.size(s) - 1, F.lit(0)))
+        gaps = F.zip_with(following, s, lambda after, at: after - at)
         return F.filter(gaps, lambda gap, i: (i % 2 == 0) & (gap == 2))
 
     return bind(spots, singles)
@@ -91,7 +87,7 @@ def joinable(tokens: Column | str) -> Column:
     )
 
 
-def clipped_matches(candidate: Column | str, target: Column | str, width: int) -> Column:
+def clipped_matches(candidate: str, target: str, width: int) -> Column:
     """Windows of the candidate that also occur in the target, each at most as often as it does there.
 
     Both sides must be ``joinable``. Windows of both sides are sorted together, each marked with its
@@ -99,28 +95,20 @@ def clipped_matches(candidate: Column | str, target: Column | str, width: int) -
     two counts. Work is n log n in the row and nothing is shuffled.
     """
 
-    def marked(items: Column | str, side: str) -> Column:
-        parts = [str(i) for i in range(width)]
-        return F.transform(
-            ngrams(items, width), lambda g: F.concat_ws(_SEPARATOR, *[g[p] for p in parts], F.lit(side))
-        )
-
-    def runs(cells: Column) -> Column:
-        windows, starts = cells["windows"], cells["starts"]
-        heads = F.transform(starts, lambda i: windows[i])
-        lengths = F.zip_with(starts, _next(starts, F.size(windows)), lambda a, b: b - a)
-        twins = F.zip_with(
-            heads,
-            _next(heads, F.lit("")),
-            lambda head, after: F.endswith(head, F.lit(_TARGET))
-            & (F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(_CANDIDATE)) == after),
-        )
-        shorter = F.zip_with(lengths, _next(lengths, F.lit(0)), lambda a, b: F.least(a, b))
-        hits = F.zip_with(twins, shorter, lambda twin, n: F.when(twin, n).otherwise(F.lit(0)))
-        return F.aggregate(hits, F.lit(0), lambda total, n: total + n)
-
-    merged = F.sort_array(F.concat(marked(target, _TARGET), marked(candidate, _CANDIDATE)))
-    return bind(merged, lambda w: bind(F.struct(w.alias("windows"), _run_starts(w).alias("starts")), runs))
+    def marked(items: str, side: str) -> str:
+        count = f"greatest(size(`{items}`) - {width - 1}, 0)"
+        slices = ", ".join(f"slice(`{items}`, {i + 1}, {count})" for i in range(width))
+        parts = ", ".join(f"g.`{i}`" for i in range(width))
+        return f"transform(arrays_zip({slices}), g -> concat_ws(char(31), {parts}, '{side}'))"
+
+    merged = f"sort_array(concat({marked(target, _TARGET)}, {marked(candidate, _CANDIDATE)}))"
+    lengths = f"zip_with(s, {_next('s', 'size(w)')}, (a, b) -> b - a)"
+    twin = f"endswith(h, '{_TARGET}') and concat(substring(h, 1, length(h) - 1), '{_CANDIDATE}') = n"
+    twins = f"zip_with(heads, {_next('heads', repr(''))}, (h, n) -> {twin})"
+    shorter = f"zip_with(n, {_next('n', '0')}, (a, b) -> least(a, b))"
+    total = f"aggregate(zip_with({twins}, {shorter}, (t, k) -> if(t, k, 0)), 0, (sum, k) -> sum + k)"
+    body = _let("heads", "transform(s, i -> w[i])", _let("n", lengths, total))
+    return F.expr(_let("w", merged, _let("s", _run_starts("w"), body)))
 
 
 def pad_to(ids: Column | str, length: Column, pad: int = 0) -> Column:

@@ -24,7 +24,7 @@ def scorable(df: DataFrame, candidate: str, target: str, *keep: str) -> DataFram
 
 def bleu_columns() -> list[Column]:
     """Sums that corpus BLEU needs over ``scorable`` rows: matches and windows per width, and both lengths."""
-    candidate, target = F.col("candidate"), F.col("target")
+    candidate, target = "candidate", "target"
     sums = []
     for width in range(1, MAX_WIDTH + 1):
         sums.append(F.sum(clipped_matches(candidate, target, width)).alias(f"match_{width}"))
