@@ -80,6 +80,9 @@ Action = tuple[str, str, str | None, str | None, str | None]
 
 
 def _node_actions(node: ast.AST, flag: str, parent: Parent) -> Iterator[Action]:
+    if parent.type == "slice" and not isinstance(node, ast.Slice):
+        yield from _wrapped_index(node, flag, parent)
+        return
     if isinstance(node, ast.Constant):
         if node.value is Ellipsis:
             yield ("Ellipsis", flag, *parent)
@@ -88,9 +91,6 @@ def _node_actions(node: ast.AST, flag: str, parent: Parent) -> Iterator[Action]:
         yield (constructor, flag, *parent)
         yield (str(node.value), "-", kind, field, "-")
         return
-    if parent.type == "slice" and not isinstance(node, ast.Slice):
-        yield from _wrapped_index(node, flag, parent)
-        return
     yield (type(node).__name__, flag, *parent)
     for name, place in _declared(type(node)):
         yield from _value_actions(getattr(node, name, None), place)
