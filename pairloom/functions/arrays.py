@@ -34,7 +34,7 @@ def _let(name: str, value: str, body: str) -> str:
 
 def _next(items: str, last: str) -> str:
     """SQL: each item's successor; ``last`` follows the last one."""
-    return f"concat(slice({items}, 2, greatest(size({items}) - 1, 0)), array({last}))"
+    return f"slice(concat({items}, array({last})), 2, size({items}))"
 
 
 def _run_starts(ordered: str) -> str:

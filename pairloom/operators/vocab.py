@@ -55,30 +55,37 @@ def category_codes(df: DataFrame, column: str, name: str = "code") -> DataFrame:
     return number_rows(df.select(column).distinct(), [column], name, start=0)
 
 
-def lookup_ids(rows: DataFrame, vocab: DataFrame, unknown: int = UNKNOWN_ID, spread: Sequence[str] | None = None) -> DataFrame:
-    """Token rows with the id of each token, ``unknown`` when the vocabulary lacks it."""
-    table = vocab.select(F.col("word").alias("token"), F.col("id").alias("_id"))
-    return lookup_join(rows, table, ["token"], "left", spread).withColumn("id", F.coalesce("_id", F.lit(unknown))).drop("_id")
+def lookup_ids(
+    rows: DataFrame,
+    vocab: DataFrame,
+    unknown: int = UNKNOWN_ID,
+    spread: Sequence[str] | None = None,
+    token: str = "token",
+    name: str = "id",
+) -> DataFrame:
+    """Token rows with the id of each token as ``name``, ``unknown`` when the vocabulary lacks it."""
+    table = vocab.select(F.col("word").alias(token), F.col("id").alias("_found"))
+    found = lookup_join(rows, table, [token], "left", spread)
+    return found.withColumn(name, F.coalesce("_found", F.lit(unknown))).drop("_found")
 
 
 def encode(df: DataFrame, tokens: str, vocab: DataFrame, key: Sequence[str], unknown: int = UNKNOWN_ID) -> DataFrame:
     """key, ids: each token list as a list of ids, in order. Empty lists stay empty lists."""
-    rows = df.select(*key, F.posexplode_outer(tokens).alias("pos", "token"))
-    coded = lookup_ids(rows, vocab, unknown, [*key, "pos"])
-    pairs = F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "id")))
-    return coded.groupBy(*key).agg(F.transform(F.sort_array(pairs), lambda p: p["id"]).alias("ids"))
+    rows = df.select(*key, F.posexplode_outer(tokens).alias("_pos", "_token"))
+    coded = lookup_ids(rows, vocab, unknown, [*key, "_pos"], "_token", "_word_id")
+    pairs = F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_word_id")))
+    return coded.groupBy(*key).agg(F.sort_array(pairs).getField("_word_id").alias("ids"))
 
 
 def decode(df: DataFrame, ids: str, vocab: DataFrame, key: Sequence[str]) -> DataFrame:
     """key, tokens: each id list as a list of words, in order; ids the vocabulary lacks are an error."""
-    table = vocab.select(F.col("id"), F.col("word"))
-    rows = df.select(*key, F.posexplode_outer(ids).alias("pos", "id"))
-    worded = lookup_join(rows, table, ["id"], "left", [*key, "pos"])
-    checked = F.when(F.col("pos").isNull() | F.col("word").isNotNull(), F.col("word")).otherwise(
-        F.raise_error(F.concat(F.lit("no word has id "), F.col("id").cast("string"))).cast("string")
-    )
-    pairs = F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", checked.alias("word"))))
-    return worded.groupBy(*key).agg(F.transform(F.sort_array(pairs), lambda p: p["word"]).alias("tokens"))
+    table = vocab.select(F.col("id").alias("_word_id"), F.col("word").alias("_word"))
+    rows = df.select(*key, F.posexplode_outer(ids).alias("_pos", "_word_id"))
+    worded = lookup_join(rows, table, ["_word_id"], "left", [*key, "_pos"])
+    missing = F.raise_error(F.concat(F.lit("no word has id "), F.col("_word_id").cast("string"))).cast("string")
+    word = F.when(F.col("_word").isNotNull(), F.col("_word")).otherwise(missing)
+    pairs = F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", word.alias("_word"))))
+    return worded.groupBy(*key).agg(F.sort_array(pairs).getField("_word").alias("tokens"))
 
 
 def unknown_rows(df: DataFrame, tokens: str, vocab: DataFrame, *keep: str) -> DataFrame:
