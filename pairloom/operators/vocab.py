@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -96,3 +97,19 @@ def unknown_rows(df: DataFrame, tokens: str, vocab: DataFrame, *keep: str) -> Da
 def known_rows(df: DataFrame, tokens: str, vocab: DataFrame, *keep: str) -> DataFrame:
     words = vocab.select(F.col("word").alias("token"))
     return lookup_join(token_rows(df, tokens, *keep), words, ["token"], "left_semi", [*keep, "pos"])
+
+
+def fixed_vocabulary(df: DataFrame, column: str) -> DataFrame:
+    """word, id, freq of a closed set of words (such as grammar actions): specials, then words in sorted order."""
+    words = df.select(F.col(column).alias("word")).where(~F.col("word").isin(*SPECIALS)).distinct()
+    numbered = number_rows(words, ["word"], "id", start=len(SPECIALS)).select(
+        "word", F.col("id").cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("freq")
+    )
+    fixed = [(word, i, 0) for i, word in enumerate(SPECIALS)]
+    return df.sparkSession.createDataFrame(fixed, numbered.schema).unionByName(numbered)
+
+
+def bundle(**vocabularies: DataFrame) -> DataFrame:
+    """Several vocabularies as one table, told apart by ``vocab_name``."""
+    named = [df.select(F.lit(name).alias("vocab_name"), "word", "id", "freq") for name, df in vocabularies.items()]
+    return reduce(DataFrame.unionByName, named)
