@@ -23,8 +23,9 @@ def bind(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-# The two in-row algorithms below are written as SQL text: as one parsed expression they cost one call
-# to the JVM, where the same tree built node by node costs a few hundred.
+# The in-row algorithms below are written as SQL text: as one parsed expression they cost one call to
+# the JVM, where the same tree built node by node costs a few hundred. Names of lambdas start with two
+# underscores, so that they do not hide a column.
 
 
 def _let(name: str, value: str, body: str) -> str:
@@ -40,7 +41,19 @@ def _next(items: str, last: str) -> str:
 def _run_starts(ordered: str) -> str:
     """SQL: places, from 0, at which a sorted list changes its value."""
     prior = f"concat(slice({ordered}, 1, 1), slice({ordered}, 1, greatest(size({ordered}) - 1, 0)))"
-    return f"array_compact(transform(zip_with({ordered}, {prior}, (x, p) -> x <> p), (new, i) -> if(new or i = 0, i, null)))"
+    changes = f"zip_with({ordered}, {prior}, (__x, __p) -> __x <> __p)"
+    return f"array_compact(transform({changes}, (__new, __i) -> if(__new or __i = 0, __i, null)))"
+
+
+def _runs(items: str, cut: str) -> str:
+    """SQL: sort items with their places; ``cut`` makes one value of each run (``__a`` to ``__b`` of ``__r``)."""
+    places = f"if(size({items}) > 0, sequence(0, size({items}) - 1), cast(array() as array<int>))"
+    ranked = f"sort_array(zip_with({items}, {places}, (__t, __i) -> named_struct('item', __t, 'pos', __i)))"
+    spans = f"zip_with(__s, {_next('__s', 'size(__r)')}, (__a, __b) -> {cut})"
+    return _let("__r", ranked, _let("__s", _run_starts("__r.item"), spans))
+
+
+_RUN_PLACES = "slice(__r.pos, __a + 1, __b - __a)"
 
 
 def group_positions(tokens: str) -> Column:
@@ -48,10 +61,19 @@ def group_positions(tokens: str) -> Column:
 
     One in-row sort, then the runs of equal items are cut out; no shuffle, n log n in the row.
     """
-    places = f"if(size(`{tokens}`) > 0, sequence(0, size(`{tokens}`) - 1), cast(array() as array<int>))"
-    ranked = f"sort_array(zip_with(`{tokens}`, {places}, (t, i) -> named_struct('item', t, 'pos', i)))"
-    spans = f"zip_with(s, {_next('s', 'size(r)')}, (a, b) -> named_struct('item', r[a].item, 'positions', slice(r.pos, a + 1, b - a)))"
-    return F.expr(_let("r", ranked, _let("s", _run_starts("r.item"), spans)))
+    return F.expr(_runs(f"`{tokens}`", f"named_struct('item', __r[__a].item, 'positions', {_RUN_PLACES})"))
+
+
+def target_spots(source: str, target: str) -> Column:
+    """Per distinct target item: array<struct<token, positions, steps>>, its source positions and target steps.
+
+    Both lists are grouped together, so finding each target item in the source costs one sort.
+    """
+    n = f"size(`{source}`)"
+    positions = f"filter({_RUN_PLACES}, __p -> __p < {n})"
+    steps = f"transform(filter({_RUN_PLACES}, __p -> __p >= {n}), __p -> __p - {n})"
+    cut = f"named_struct('token', __r[__a].item, 'positions', {positions}, 'steps', {steps})"
+    return F.expr(f"filter({_runs(f'concat(`{source}`, `{target}`)', cut)}, __g -> size(__g.steps) > 0)")
 
 
 def shared_distinct(a: Column | str, b: Column | str) -> Column:
@@ -98,17 +120,17 @@ def clipped_matches(candidate: str, target: str, width: int) -> Column:
     def marked(items: str, side: str) -> str:
         count = f"greatest(size(`{items}`) - {width - 1}, 0)"
         slices = ", ".join(f"slice(`{items}`, {i + 1}, {count})" for i in range(width))
-        parts = ", ".join(f"g.`{i}`" for i in range(width))
-        return f"transform(arrays_zip({slices}), g -> concat_ws(char(31), {parts}, '{side}'))"
+        parts = ", ".join(f"__g.`{i}`" for i in range(width))
+        return f"transform(arrays_zip({slices}), __g -> concat_ws(char(31), {parts}, '{side}'))"
 
     merged = f"sort_array(concat({marked(target, _TARGET)}, {marked(candidate, _CANDIDATE)}))"
-    lengths = f"zip_with(s, {_next('s', 'size(w)')}, (a, b) -> b - a)"
-    twin = f"endswith(h, '{_TARGET}') and concat(substring(h, 1, length(h) - 1), '{_CANDIDATE}') = n"
-    twins = f"zip_with(heads, {_next('heads', repr(''))}, (h, n) -> {twin})"
-    shorter = f"zip_with(n, {_next('n', '0')}, (a, b) -> least(a, b))"
-    total = f"aggregate(zip_with({twins}, {shorter}, (t, k) -> if(t, k, 0)), 0, (sum, k) -> sum + k)"
-    body = _let("heads", "transform(s, i -> w[i])", _let("n", lengths, total))
-    return F.expr(_let("w", merged, _let("s", _run_starts("w"), body)))
+    lengths = f"zip_with(__s, {_next('__s', 'size(__w)')}, (__a, __b) -> __b - __a)"
+    twin = f"endswith(__h, '{_TARGET}') and concat(substring(__h, 1, length(__h) - 1), '{_CANDIDATE}') = __k"
+    twins = f"zip_with(__heads, {_next('__heads', repr(''))}, (__h, __k) -> {twin})"
+    shorter = f"zip_with(__n, {_next('__n', '0')}, (__a, __b) -> least(__a, __b))"
+    total = f"aggregate(zip_with({twins}, {shorter}, (__t, __k) -> if(__t, __k, 0)), 0, (__sum, __k) -> __sum + __k)"
+    body = _let("__heads", "transform(__s, __i -> __w[__i])", _let("__n", lengths, total))
+    return F.expr(_let("__w", merged, _let("__s", _run_starts("__w"), body)))
 
 
 def pad_to(ids: Column | str, length: Column, pad: int = 0) -> Column:

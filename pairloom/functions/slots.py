@@ -43,23 +43,26 @@ def slot_entries(c: Column | str) -> Column:
     """array<struct<slot, value, quote, type, quoted>>: the n-th term of its type becomes ``type_n``."""
     typed = F.transform(
         quoted_terms(c),
-        lambda m: F.struct(slot_type(m["quote"], m["value"]).alias("type"), m["quote"].alias("quote"), m["value"].alias("value")),
+        lambda m, i: F.struct(
+            i.alias("at"), slot_type(m["quote"], m["value"]).alias("type"), m["quote"].alias("quote"), m["value"].alias("value")
+        ),
     )
 
-    def numbered(terms: Column) -> Column:
-        def entry(m: Column, i: Column) -> Column:
-            before = F.size(F.filter(F.slice(terms, F.lit(1), i), lambda t: t["type"] == m["type"]))
-            return F.struct(
-                F.concat(m["type"], F.lit("_"), before.cast("string")).alias("slot"),
+    def numbered(terms: Column, kind: str) -> Column:
+        return F.transform(
+            F.filter(terms, lambda m: m["type"] == kind),
+            lambda m, n: F.struct(
+                m["at"].alias("at"),
+                F.concat(F.lit(f"{kind}_"), n.cast("string")).alias("slot"),
                 strip(m["value"]).alias("value"),
                 m["quote"].alias("quote"),
                 m["type"].alias("type"),
                 F.concat(m["quote"], m["value"], m["quote"]).alias("quoted"),
-            )
-
-        return F.transform(terms, entry)
+            ),
+        )
 
-    return bind(typed, numbered)
+    ordered = bind(typed, lambda terms: F.sort_array(F.concat(numbered(terms, "var"), numbered(terms, "str"))))
+    return F.transform(ordered, lambda e: e.dropFields("at"))
 
 
 def slot_text(c: Column | str, entries: Column) -> Column:
@@ -118,12 +121,12 @@ def query_text(c: Column | str, slots: Column, variables: Column | None = None)
 
     def fill(known: Column) -> Column:
         strings = F.filter(known, lambda e: F.startswith(e["slot"], F.lit("str_")))
-        replaced = F.aggregate(
-            occurrences,
-            text,
-            lambda acc, o: F.coalesce(
-                F.replace(acc, o["quoted"], F.get(F.filter(strings, lambda e: e["literal"] == o["v"]), F.lit(0))["slot"]),
-                acc,
+        replaced = bind(
+            entry_map(strings, "literal", "slot"),
+            lambda slot_of: F.aggregate(
+                occurrences,
+                text,
+                lambda acc, o: F.coalesce(F.replace(acc, o["quoted"], F.try_element_at(slot_of, o["v"])), acc),
             ),
         )
         if variables is None:
@@ -138,12 +141,10 @@ def entry_map(entries: Column, key: str, value: str) -> Column:
     """Map view of entries; when a key repeats, its last entry counts."""
 
     def last_only(all_entries: Column) -> Column:
-        return F.filter(
-            all_entries,
-            lambda e, i: ~F.exists(
-                F.slice(all_entries, i + 2, F.greatest(F.size(all_entries) - i - 1, F.lit(0))),
-                lambda later: later[key] == e[key],
-            ),
+        backwards = F.reverse(F.transform(all_entries, lambda e: e[key]))
+        return bind(
+            F.struct(all_entries.alias("all"), backwards.alias("keys")),
+            lambda b: F.filter(b["all"], lambda e, i: F.size(b["keys"]) - F.array_position(b["keys"], e[key]) == i),
         )
 
     pairs = F.transform(bind(entries, last_only), lambda e: F.struct(e[key].alias("k"), e[value].alias("v")))
