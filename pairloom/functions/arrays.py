@@ -46,14 +46,18 @@ def _run_starts(ordered: str) -> str:
 
 
 def _runs(items: str, cut: str) -> str:
-    """SQL: sort items with their places; ``cut`` makes one value of each run (``__a`` to ``__b`` of ``__r``)."""
+    """SQL: sort items with their places; ``cut`` makes one value of each run (``__a`` to ``__b`` of ``__q``).
+
+    Items and places are taken apart once, so that a run is cut out without touching the other runs.
+    """
     places = f"if(size({items}) > 0, sequence(0, size({items}) - 1), cast(array() as array<int>))"
     ranked = f"sort_array(zip_with({items}, {places}, (__t, __i) -> named_struct('item', __t, 'pos', __i)))"
-    spans = f"zip_with(__s, {_next('__s', 'size(__r)')}, (__a, __b) -> {cut})"
-    return _let("__r", ranked, _let("__s", _run_starts("__r.item"), spans))
+    spans = f"zip_with(__s, {_next('__s', 'size(__q.item)')}, (__a, __b) -> {cut})"
+    apart = "named_struct('item', __r.item, 'pos', __r.pos)"
+    return _let("__r", ranked, _let("__q", apart, _let("__s", _run_starts("__q.item"), spans)))
 
 
-_RUN_PLACES = "slice(__r.pos, __a + 1, __b - __a)"
+_RUN_PLACES = "slice(__q.pos, __a + 1, __b - __a)"
 
 
 def group_positions(tokens: str) -> Column:
@@ -61,7 +65,7 @@ def group_positions(tokens: str) -> Column:
 
     One in-row sort, then the runs of equal items are cut out; no shuffle, n log n in the row.
     """
-    return F.expr(_runs(f"`{tokens}`", f"named_struct('item', __r[__a].item, 'positions', {_RUN_PLACES})"))
+    return F.expr(_runs(f"`{tokens}`", f"named_struct('item', __q.item[__a], 'positions', {_RUN_PLACES})"))
 
 
 def target_spots(source: str, target: str) -> Column:
@@ -72,7 +76,7 @@ def target_spots(source: str, target: str) -> Column:
     n = f"size(`{source}`)"
     positions = f"filter({_RUN_PLACES}, __p -> __p < {n})"
     steps = f"transform(filter({_RUN_PLACES}, __p -> __p >= {n}), __p -> __p - {n})"
-    cut = f"named_struct('token', __r[__a].item, 'positions', {positions}, 'steps', {steps})"
+    cut = f"named_struct('token', __q.item[__a], 'positions', {positions}, 'steps', {steps})"
     return F.expr(f"filter({_runs(f'concat(`{source}`, `{target}`)', cut)}, __g -> size(__g.steps) > 0)")
 
 
