@@ -10,7 +10,7 @@ from pairloom.plans import sql
 from pairloom.plans.registry import query
 from pairloom.sources import views
 
-# The actions of each template, worked by the grammar: word, flag, and the place it fills.
+# The actions of each template (word, flag, place it fills), printed once and read against the grammar.
 TEMPLATE_ACTIONS = (
     (
         'Assign -; Name + expr.targets+; x - identifier.id-; Store - expr_context.ctx-; Reduce - expr.targets+; '
