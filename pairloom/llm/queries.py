@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pairloom.llm.decontaminate import benchmark_hits
 from pairloom.llm.minhash import near_duplicates
 from pairloom.llm.stages import read
 
@@ -16,7 +17,22 @@ def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read(spark, folder, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = benchmark_hits(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    covered = F.aggregate(F.zip_with("begins", "ends", lambda b, e: (e - b).cast("bigint")), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    named = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        covered.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(named, 256).alias("items_sha256"),
+        (covered > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Plan] = {
     "op1_minhash": op1_minhash,
+    "op2_decontaminate": op2_decontaminate,
 }
 CHECKS: dict[str, str] = {}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pairloom.session import fresh_path
@@ -28,3 +30,13 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop shuffle files that no frame refers to any more.
+
+    The cleaner follows the driver's garbage collection, which a driver with little to do may put off for
+    long; a job in several stages would keep the shuffles of all of them on disk until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
