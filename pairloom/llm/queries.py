@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pairloom.llm import bpe
 from pairloom.llm.decontaminate import benchmark_hits
 from pairloom.llm.minhash import near_duplicates
 from pairloom.llm.stages import read
@@ -31,8 +33,20 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(read(spark, folder, "documents"), path), path)
+    return coded.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Plan] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
+    "op3_bpe": op3_bpe,
 }
 CHECKS: dict[str, str] = {}
