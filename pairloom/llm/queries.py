@@ -11,6 +11,7 @@ from pairloom.llm import bpe
 from pairloom.llm.decontaminate import benchmark_hits
 from pairloom.llm.minhash import near_duplicates
 from pairloom.llm.stages import read
+from pairloom.llm.substring import remove_repeats
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -44,9 +45,15 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_substring(spark: SparkSession, folder: str) -> DataFrame:
+    done = remove_repeats(read(spark, folder, "documents"))
+    return done.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Plan] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
     "op3_bpe": op3_bpe,
+    "op8_substring": op8_substring,
 }
 CHECKS: dict[str, str] = {}
