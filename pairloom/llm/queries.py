@@ -12,6 +12,7 @@ from pairloom.llm.decontaminate import benchmark_hits
 from pairloom.llm.minhash import near_duplicates
 from pairloom.llm.stages import read
 from pairloom.llm.substring import remove_repeats
+from pairloom.llm.toxicity import THRESHOLD, held_out, toxicity
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -50,10 +51,22 @@ def op8_substring(spark: SparkSession, folder: str) -> DataFrame:
     return done.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    learned = read(spark, folder, "labels").where(~held_out("doc_id"))
+    scored = toxicity(read(spark, folder, "documents"), learned)
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        held_out("id").alias("held_out"),
+        "score",
+        F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Plan] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
     "op3_bpe": op3_bpe,
+    "op4_toxicity": op4_toxicity,
     "op8_substring": op8_substring,
 }
 CHECKS: dict[str, str] = {}
