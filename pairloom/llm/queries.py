@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import bpe
+from pairloom.llm import bpe, langid
 from pairloom.llm.decontaminate import benchmark_hits
 from pairloom.llm.minhash import near_duplicates
 from pairloom.llm.stages import read
@@ -62,11 +62,19 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_langid(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents")
+    training = documents.where(~held_out("doc_id")).select("text", "lang")
+    found = langid.identify(documents, training, public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), F.col("lang").alias("lang_pred"), "score")
+
+
 QUERIES: dict[str, Plan] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
     "op3_bpe": op3_bpe,
     "op4_toxicity": op4_toxicity,
+    "op6_langid": op6_langid,
     "op8_substring": op8_substring,
 }
 CHECKS: dict[str, str] = {}
