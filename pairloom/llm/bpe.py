@@ -174,7 +174,7 @@ def _encoder(path: str) -> Remembering:
 
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        special = next(iter(vocabulary(path).special), b"")
+        special = tuple(vocabulary(path).special)
         for batch in batches:
             for first, last, ids, at in encode_texts(batch.column(1), _encoder(path), special):
                 yield pa.RecordBatch.from_arrays(

@@ -28,7 +28,7 @@ _PUNCTUATION[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _MARK)
 
 
-def cuts(data: np.ndarray, special: bytes = b"") -> np.ndarray:
+def cuts(data: np.ndarray, special: Sequence[bytes] = ()) -> np.ndarray:
     """Where a piece begins, besides the beginnings of texts."""
     cut = np.zeros(len(data), bool)
     if len(data) < 2:
@@ -41,15 +41,15 @@ def cuts(data: np.ndarray, special: bytes = b"") -> np.ndarray:
     cut[white] = True
     cut[wide[risky]] = False
     cut[1:] |= _LETTER[before] & _PUNCTUATION[data[1:]]
-    if special:
-        raw = data.tobytes()
-        at = raw.find(special)
+    raw = data.tobytes() if special else b""
+    for mark in special:
+        at = raw.find(mark)
         while at >= 0:
-            cut[at : at + len(special)] = False
+            cut[at : at + len(mark)] = False
             cut[at] = True
-            if at + len(special) < len(data):
-                cut[at + len(special)] = True
-            at = raw.find(special, at + len(special))
+            if at + len(mark) < len(data):
+                cut[at + len(mark)] = True
+            at = raw.find(mark, at + len(mark))
     return cut
 
 
@@ -112,7 +112,24 @@ def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int,
         yield first, last, low, high
 
 
-def encode_texts(texts: pa.Array, encoder: Remembering, special: bytes = b"") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def count_ids(texts: pa.Array, encoder: Remembering, special: Sequence[bytes], total: np.ndarray) -> None:
+    """Adds to ``total`` how often each id occurs in the texts; nothing is put in order for that."""
+    data, offsets = utf8(texts)
+    for first, last, low, high in _segments(data, offsets):
+        part = data[low:high]
+        if not len(part):
+            continue
+        cut = cuts(part, special)
+        here = offsets[first : last + 1]
+        cut[here[(here >= low) & (here < high)] - low] = True
+        cut[0] = True
+        found, which = distinct(part, np.flatnonzero(cut))
+        coded = encoder(found)
+        times = np.repeat(np.bincount(which, minlength=len(found)), [len(c) >> 2 for c in coded])
+        total += np.bincount(np.frombuffer(b"".join(coded), "<i4"), weights=times, minlength=len(total)).astype(np.int64)
+
+
+def encode_texts(texts: pa.Array, encoder: Remembering, special: Sequence[bytes] = ()) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For runs of texts: first row, last row, ids of all, and where each text's ids begin (one more entry than texts)."""
     data, offsets = utf8(texts)
     held: list[np.ndarray] = []

@@ -7,12 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import bpe, langid
+from pairloom.llm import bpe, huffman, langid
 from pairloom.llm.decontaminate import benchmark_hits
+from pairloom.llm.extract import extract
 from pairloom.llm.minhash import near_duplicates
 from pairloom.llm.stages import read
 from pairloom.llm.substring import remove_repeats
 from pairloom.llm.toxicity import THRESHOLD, held_out, toxicity
+from pairloom.session import fresh_path
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -69,12 +71,26 @@ def op6_langid(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), F.col("lang").alias("lang_pred"), "score")
 
 
+def op5_extract(spark: SparkSession, folder: str) -> DataFrame:
+    found = extract(read(spark, folder, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "token-ids")
+    huffman.write_ids(read(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    done = huffman.documents_of(spark, path)
+    return done.select(F.col("id").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), F.col("crc32").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Plan] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
     "op3_bpe": op3_bpe,
     "op4_toxicity": op4_toxicity,
+    "op5_extract": op5_extract,
     "op6_langid": op6_langid,
     "op8_substring": op8_substring,
+    "op10_token_ids": op10_token_ids,
 }
 CHECKS: dict[str, str] = {}
