@@ -11,6 +11,7 @@ from pairloom.llm import bpe, huffman, langid
 from pairloom.llm.decontaminate import benchmark_hits
 from pairloom.llm.extract import extract
 from pairloom.llm.minhash import near_duplicates
+from pairloom.llm.quantise import near_vectors
 from pairloom.llm.stages import read
 from pairloom.llm.substring import remove_repeats
 from pairloom.llm.toxicity import THRESHOLD, held_out, toxicity
@@ -83,6 +84,10 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return done.select(F.col("id").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), F.col("crc32").alias("ids_crc32"))
 
 
+def op9_embedding(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(read(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Plan] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Plan] = {
     "op5_extract": op5_extract,
     "op6_langid": op6_langid,
     "op8_substring": op8_substring,
+    "op9_embedding": op9_embedding,
     "op10_token_ids": op10_token_ids,
 }
 CHECKS: dict[str, str] = {}
