@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.llm import bpe, huffman, langid
+from pairloom.llm.chat import format_chats
 from pairloom.llm.decontaminate import benchmark_hits
 from pairloom.llm.extract import extract
 from pairloom.llm.minhash import near_duplicates
@@ -88,6 +89,11 @@ def op9_embedding(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(read(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
+    lines = format_chats(read(spark, folder, "conversations"))
+    return lines.select(F.col("conv").alias("conv_id"), "turn", "kind", "after", F.col("level").cast("bigint").alias("level"), "valid", F.sha2("line", 256).alias("line_sha256"))
+
+
 QUERIES: dict[str, Plan] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
@@ -95,8 +101,16 @@ QUERIES: dict[str, Plan] = {
     "op4_toxicity": op4_toxicity,
     "op5_extract": op5_extract,
     "op6_langid": op6_langid,
+    "op7_chat": op7_chat,
     "op8_substring": op8_substring,
     "op9_embedding": op9_embedding,
     "op10_token_ids": op10_token_ids,
 }
-CHECKS: dict[str, str] = {}
+# The tables hold no tool calls: every row is a plain message. Linking is tested on fixtures.
+_CHAT = """
+select conv_id, turn, 'message' as kind, turn as after, 0::bigint as level, true as valid,
+  sha256('{"content":' || to_json(coalesce(text, '')) || ',"role":' || to_json(coalesce(role, '')) || '}') as line_sha256
+from conversations
+"""
+
+CHECKS: dict[str, str] = {"op7_chat": _CHAT}

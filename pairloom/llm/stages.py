@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from pairloom.session import fresh_path
 
@@ -40,3 +43,14 @@ def release(spark: SparkSession) -> None:
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def carried(columns: Sequence[str]) -> list[Column]:
+    """Columns that an operator hands through, as one struct, so that no name can clash with its own."""
+    return [F.struct(*columns).alias("row")] if columns else []
+
+
+def with_carried(schema: str, rows: DataFrame) -> StructType:
+    """An operator's output schema, with the struct of carried columns if ``rows`` has it."""
+    out = StructType.fromDDL(schema)
+    return out.add(rows.schema["row"]) if "row" in rows.columns else out

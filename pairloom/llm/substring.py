@@ -18,13 +18,13 @@ are kept, white space between kept words becomes one space. Other columns are no
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pairloom.llm.stages import Stage, partitions, release
+from pairloom.llm.stages import Stage, carried, partitions, release, with_carried
 from pairloom.llm.words import WHITE, blocks, cover, grams, utf8, words
 
 WINDOW = 13
@@ -193,14 +193,18 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 gone.append(int(covered.sum()))
                 stay = np.flatnonzero(~covered) + b
                 kept.append(b" ".join([raw[x:y] for x, y in zip(begin[stay].tolist(), until[stay].tolist())]))
+        handed = {"text": batch.column(1), "row": batch.column(3)} if batch.num_columns > 3 else {}
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-            names=["id", "n_words", "n_removed", "kept"],
+            [batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), *handed.values()],
+            names=["id", "n_words", "n_removed", "kept", *handed],
         )
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per row of ``docs``: id, n_words, n_removed, and ``kept``: the words that stay, joined by one space."""
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """Per row of ``docs``: id, n_words, n_removed, and ``kept``: the words that stay, joined by one space.
+
+    With ``keep``, also the text as it was and these columns as a struct ``row``.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     many = partitions(spark)
@@ -222,4 +226,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     windows.drop()
     del each, earliest
     release(spark)
-    return texts.join(repeated.df, "id", "left").select("id", "text", "repeated").mapInArrow(_remove, "id bigint, n_words bigint, n_removed bigint, kept string")
+    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"), *carried(keep))
+    schema = "id bigint, n_words bigint, n_removed bigint, kept string" + (", text string" if keep else "")
+    joined = rows.join(repeated.df, "id", "left").select("id", "text", "repeated", *rows.columns[2:])
+    return joined.mapInArrow(_remove, with_carried(schema, joined))

@@ -19,7 +19,7 @@ repeat an id count once. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
@@ -27,6 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pairloom.llm.stages import carried, with_carried
 from pairloom.llm.words import blocks, mix, utf8, words
 
 SAMPLE = 20_000
@@ -268,17 +269,20 @@ def _score(model: np.ndarray, key: np.ndarray, value: np.ndarray):
                 hit = value[at[key[at] == maybe]] if len(maybe) else value[:0]
                 words_in = len(rows)
                 scores.append(float(hit.max()) if len(hit) else 0.1 * words_in / (words_in + 1000))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["id", "score"])
+            carried = [batch.column(k) for k in range(2, batch.num_columns)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), *carried], names=["id", "score", *batch.schema.names[2:]])
 
     return run
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> DataFrame:
-    """Per row of ``docs``: id and score. ``labels`` holds the rows to learn from, and no others."""
+def toxicity(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Per row of ``docs``: id, score and, if asked for, the columns ``keep`` as a struct ``row``. ``labels`` holds the rows to learn from."""
     model = character_model(docs, text_column)
     key, value = train(docs, labels, model, id_column, text_column, label_column)
-    texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    return texts.mapInArrow(_score(model, key, value), "id bigint, score double")
+    texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"), *carried(keep))
+    return texts.mapInArrow(_score(model, key, value), with_carried("id bigint, score double", texts))
 
 
 def held_out(id_column: str = "doc_id") -> Column:
