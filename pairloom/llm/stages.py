@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from collections.abc import Sequence
 
@@ -41,8 +42,10 @@ def release(spark: SparkSession) -> None:
     The cleaner follows the driver's garbage collection, which a driver with little to do may put off for
     long; a job in several stages would keep the shuffles of all of them on disk until then.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first collection frees still holds the shuffles until the second
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def carried(columns: Sequence[str]) -> list[Column]:
