@@ -185,5 +185,10 @@ def unslot_literals(c: Column | str, slots: Column) -> Column:
     return _replace_each(_col(c), slots, lambda e: e["slot"], lambda e: e["literal"])
 
 
-def slot_names(kinds: tuple[str, ...] = ("var", "str"), count: int = 10) -> list[str]:
-    return [f"{kind}_{i}" for kind in kinds for i in range(count)]
+def is_slot_name(token: Column) -> Column:
+    """Whether a token is a slot's name, whatever its number."""
+    return token.rlike("^(var|str)_[0-9]+$")
+
+
+def without_slot_names(tokens: Column | str) -> Column:
+    return F.filter(_col(tokens), lambda t: ~is_slot_name(t))

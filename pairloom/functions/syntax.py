@@ -8,6 +8,7 @@ them are plain DataFrame work.
 from __future__ import annotations
 
 import ast
+import copy
 import io
 import tokenize
 from collections.abc import Iterator, Sequence
@@ -76,6 +77,18 @@ def grammar_rows() -> list[tuple[str, str, str, str]]:
     return sorted((c.__name__, name, p.type, p.cardinality) for c in set(classes) for name, p in _declared(c))
 
 
+def childless_nodes() -> list[str]:
+    """Node classes without fields that stand for themselves: operators, contexts, ``pass`` and its like."""
+    classes = {c for c in vars(ast).values() if isinstance(c, type) and issubclass(c, ast.AST)}
+    parents = {base for c in classes for base in c.__bases__}
+    return sorted(c.__name__ for c in classes - parents if not c._fields and c.__name__ != "AST")
+
+
+def plain(text: str) -> str:
+    """Text that can be written as UTF-8: half of a surrogate pair, which a literal may hold, is spelled out."""
+    return text.encode("utf-8", "backslashreplace").decode("utf-8")
+
+
 Action = tuple[str, str, str | None, str | None, str | None]
 
 
@@ -89,7 +102,7 @@ def _node_actions(node: ast.AST, flag: str, parent: Parent) -> Iterator[Action]:
             return
         constructor, kind, field = LITERALS[type(node.value).__name__]
         yield (constructor, flag, *parent)
-        yield (str(node.value), "-", kind, field, "-")
+        yield (plain(str(node.value)), "-", kind, field, "-")
         return
     yield (type(node).__name__, flag, *parent)
     for name, place in _declared(type(node)):
@@ -119,7 +132,7 @@ def _value_actions(value: object, place: Parent, flag: str | None = None) -> Ite
     elif value is None:
         yield (_closing(place), flag or "?", *place)
     else:
-        yield (str(value), flag or "-", *place)
+        yield (plain(str(value)), flag or "-", *place)
 
 
 def _closing(place: Parent) -> str:
@@ -142,23 +155,21 @@ def depth_of(tree: ast.AST) -> int:
 def comments_of(code: str) -> list[str]:
     """Comments of the code; none when it cannot be tokenized."""
     try:
-        return [t.string for t in tokenize.generate_tokens(io.StringIO(code).readline) if t.type == tokenize.COMMENT]
+        return [plain(t.string) for t in tokenize.generate_tokens(io.StringIO(code).readline) if t.type == tokenize.COMMENT]
     except (tokenize.TokenError, SyntaxError, ValueError):
         return []
 
 
-def without_docstrings(code: str) -> str:
-    """Source without the docstrings of functions and classes; a body left empty becomes ``pass``."""
-    tree = ast.parse(code)
+def without_docstrings(tree: ast.AST) -> str:
+    """Source without the docstrings of functions and classes; a body left empty becomes ``pass``. Changes the tree."""
     for node in ast.walk(tree):
         if isinstance(node, ast.FunctionDef | ast.AsyncFunctionDef | ast.ClassDef) and ast.get_docstring(node, clean=False) is not None:
             node.body = node.body[1:] or [ast.Pass()]
     return ast.unparse(tree)
 
 
-def with_slots(code: str, slots: dict[str, str]) -> str:
-    """Source whose names and text constants that equal a slot value are that slot."""
-    tree = ast.parse(code)
+def with_slots(tree: ast.AST, slots: dict[str, str]) -> str:
+    """Source whose names and text constants that equal a slot value are that slot. Changes the tree."""
     for node in ast.walk(tree):
         for field, value in ast.iter_fields(node):
             if isinstance(value, str) and value in slots:
@@ -188,9 +199,9 @@ def _facts(code: str | None, slots: dict[str, str], want: Sequence[str]) -> dict
                 names = ("action", "flag", "parent_type", "parent_field", "cardinality")
                 facts["actions"] = [dict(zip(names, a)) for a in actions_of(tree.body[0])]
             if "stripped" in want:
-                facts["stripped"] = without_docstrings(code)
+                facts["stripped"] = plain(without_docstrings(copy.deepcopy(tree) if "slotted" in want else tree))
             if "slotted" in want:
-                facts["slotted"] = with_slots(code, slots)
+                facts["slotted"] = plain(with_slots(tree, slots))
     except UNPARSABLE as error:
         facts.update(dict.fromkeys(want))
         kind = "SyntaxError" if isinstance(error, SyntaxError) else type(error).__name__
@@ -217,7 +228,7 @@ def code_facts(code: Column | str, *want: str, slots: Column | None = None) -> C
 
     @F.pandas_udf(f"struct<{schema}>")
     def slotted_facts(codes: pd.Series, entries: pd.Series) -> pd.DataFrame:
-        rows = [_facts(c, {e["value"]: e["slot"] for e in es}, wanted) for c, es in zip(codes, entries)]
+        rows = [_facts(c, {e["value"]: e["slot"] for e in (es if es is not None else ())}, wanted) for c, es in zip(codes, entries)]
         return pd.DataFrame(rows, columns=list(wanted), dtype=object)
 
     if slots is None:

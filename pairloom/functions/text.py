@@ -99,16 +99,22 @@ def wrap_fragment(c: Column | str) -> Column:
 
 
 def param_terms(c: Column | str) -> Column:
-    """Parameter names that a docstring declares as ``:param name:``."""
-    return F.array_distinct(F.regexp_extract_all(_col(c), F.lit(r":param (\w+)"), F.lit(1)))
+    """Parameter names that a docstring declares: ``:param name:``, ``:param type name:``, ``:param *name:``."""
+    return F.array_distinct(F.regexp_extract_all(_col(c), F.lit(r":param (?:[^:\n]*?[ *])?(\w+)(?=\s*:)"), F.lit(1)))
 
 
 def mark_terms(c: Column | str, terms: Column) -> Column:
     """Put every listed term between backticks, all terms in one pass over the text."""
-    pattern = F.array_join(terms, "|")
+    escaped = F.transform(terms, lambda t: F.regexp_replace(t, r"([\\.\[\]{}()*+\-?^$|])", r"\\$1"))
+    pattern = F.array_join(escaped, "|")
     return F.when(F.size(terms) == 0, _col(c)).otherwise(F.regexp_replace(_col(c), pattern, F.lit("`$0`")))
 
 
+def request(rewritten: Column | str, original: Column | str) -> Column:
+    """The rewritten request, or the original one where that is missing or empty."""
+    return F.coalesce(F.nullif(_col(rewritten), F.lit("")), _col(original))
+
+
 def array_text(tokens: Column | str) -> Column:
     return F.array_join(_col(tokens), " ")
 

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_LIMIT = 64 << 20  # bytes
+BROADCAST_LIMIT = 256 << 20  # bytes in memory
+IN_MEMORY = 4  # bytes in a hash table for each byte of text, with a margin
 SALTS = 32
 
 
 def byte_size(df: DataFrame) -> int:
-    """Size of the table's values as text: an upper guide for what a broadcast would hold."""
+    """What a broadcast of the table would hold at most: its values as text, and IN_MEMORY times that in a hash table."""
     size = df.select(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
-    return size or 0
+    return IN_MEMORY * (size or 0)
 
 
 def lookup_join(
@@ -40,7 +41,7 @@ def lookup_join(
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def balanced(df: DataFrame, *keys: Column | str) -> DataFrame:
-    """Spread a small scan over all cores; a scan with enough partitions of its own is left alone."""
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread the rows of a small scan over all cores, by turns and not by a key, so that later plans are those of a large scan."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

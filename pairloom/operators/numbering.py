@@ -13,6 +13,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pairloom.operators.lookup import lookup_join
 from pairloom.session import materialize
 
 CHUNK, PLACE = "_chunk", "_place"
@@ -35,20 +36,18 @@ def range_chunks(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
 
 
 def _offsets(chunks: DataFrame, keys: Sequence[str], place: str) -> DataFrame:
-    """Rows before each chunk. Collects one row per chunk (a partition or file split), never data rows."""
+    """Rows before each chunk, as a written table with one row per chunk (a partition or file split)."""
     counted = chunks.groupBy(*keys).agg(F.min(place).alias("low"), F.count(F.lit(1)).alias("n"))
-    before, rows = 0, []
-    for row in sorted(counted.collect(), key=lambda r: tuple(r[k] for k in keys)):
-        rows.append((*[row[k] for k in keys], before - row["low"]))
-        before += row["n"]
-    fields = ", ".join(f"`{k}` {counted.schema[k].dataType.simpleString()}" for k in keys)
-    return chunks.sparkSession.createDataFrame(rows, f"{fields}, _before bigint")
+    running = F.sum("n").over(Window.orderBy(*keys)) - F.col("n")  # over a row per chunk, not over data rows
+    return materialize(counted.select(*keys, (running - F.col("low")).alias("_before")), "offsets")
 
 
 def number_chunked(chunks: DataFrame, name: str, start: int = 1, keys: Sequence[str] = (CHUNK,), place: str = PLACE) -> DataFrame:
     """Consecutive numbers for a table that already has chunk keys and places."""
-    offsets = F.broadcast(_offsets(chunks, keys, place))  # one row per chunk
-    numbered = chunks.join(offsets, list(keys))
+    own = [f"_own{i}" for i in range(len(keys))]  # a key may be null: a file whose name has no part number
+    marked = chunks.select("*", *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(o) for k, o in zip(keys, own)])
+    offsets = _offsets(chunks, keys, place).select(*[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(o) for k, o in zip(keys, own)], "_before")
+    numbered = lookup_join(marked, offsets, own, "inner", [place]).drop(*own)
     return numbered.withColumn(name, F.col("_before") + F.col(place) + F.lit(start)).drop("_before", place, *keys)
 
 

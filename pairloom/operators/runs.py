@@ -69,9 +69,10 @@ def patience_trials(log: DataFrame, patience: int, from_epoch: int, max_trials:
     reset = F.when(F.col("is_better"), F.col("_stalls"))
     based = running(counted, ["run"], [Running("_base", "max", reset)])
     since = F.col("_stalls") - F.coalesce("_base", F.lit(0))
-    hits = based.withColumn("_since", since).withColumn(
+    marked = based.withColumn("_since", since).withColumn(
         "is_trial", stalled & (F.col("_since") % patience == 0) & (F.col("_since") > 0)
     )
+    hits = materialize(marked, "trials")
     tried = running(hits, ["run"], [Running("trials", "sum", F.col("is_trial").cast("bigint"))])
     ended = tried
     if max_trials is not None:

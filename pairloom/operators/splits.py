@@ -17,37 +17,66 @@ def shuffle_key(keys: Sequence[str], seed: int) -> Column:
     )
 
 
-TOP_LIMIT = 100_000  # beyond this many rows a place is found by numbering, not by a top-n
+PREFIX = 3  # hex digits by which the n-th hash is narrowed down at a time: 4096 groups
+FEW = 4096  # rows of one hash group that may be sorted together
 
 
-def _edge(df: DataFrame, rank: Column, n: int, last: bool = False) -> DataFrame:
-    """One row: the n-th smallest rank (or the n-th largest), or the outermost one if there are fewer."""
-    ranks = df.select(rank.alias("r"))
-    order = F.desc("r") if last else F.asc("r")
-    if n <= TOP_LIMIT:
-        nearest = ranks.orderBy(order).limit(n)
-    else:
-        nearest = number_rows(ranks, [order], "_n").where(F.col("_n") <= n)
-    return nearest.agg((F.min if last else F.max)("r").alias("edge"))
+def _hash_edge(df: DataFrame, keys: Sequence[str], seed: int, n: int) -> DataFrame | None:
+    """One row: the n-th smallest shuffle key, or the largest one if there are fewer; None for an empty table.
+
+    Rows are counted by the first digits of their hash (partial counts, one small row per group), the group that holds the
+    n-th place is counted by its next digits, and so on until few rows are left. No task gets more than these.
+    """
+    ranks = df.select(shuffle_key(keys, seed).alias("r"))
+    prefix, left = "", max(n, 1)
+    while True:
+        size = len(prefix) + PREFIX
+        group = F.substring("r._hash", 1, size).alias("g")
+        inside = ranks.where(F.col("r._hash").startswith(prefix)) if prefix else ranks
+        counted = sorted((r["g"], r["n"]) for r in inside.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect())
+        if not counted:
+            return None
+        left = min(left, sum(rows for _, rows in counted))
+        for prefix, rows in counted:
+            if left <= rows:
+                break
+            left -= rows
+        if rows <= FEW or size >= 32:
+            return ranks.where(F.col("r._hash").startswith(prefix)).orderBy("r").limit(left).agg(F.max("r").alias("edge"))
+
+
+def _order_edge(df: DataFrame, order: Sequence[str], n: int, last: bool = False) -> DataFrame:
+    """One row: the n-th smallest rank (or the n-th largest), or the outermost one if there are fewer. By range numbering."""
+    ranks = df.select(F.struct(*order).alias("r"))
+    numbered = number_rows(ranks, [F.desc("r") if last else F.asc("r")], "_n").where(F.col("_n") <= n)
+    return numbered.agg((F.min if last else F.max)("r").alias("edge"))
 
 
 def shuffle_split(df: DataFrame, keys: Sequence[str], n_val: int = 200, seed: int = 1, name: str = "split") -> DataFrame:
-    """The first ``n_val`` rows of the shuffle are val, the rest train."""
-    rank = shuffle_key(keys, seed)
-    return df.withColumn(name, F.when(rank <= _edge(df, rank, n_val).scalar(), F.lit("val")).otherwise(F.lit("train")))
+    """The first ``n_val`` rows of the shuffle are val, the rest train. ``keys`` must tell the rows apart."""
+    edge = _hash_edge(df, keys, seed, n_val)
+    val = F.lit(False) if edge is None else shuffle_key(keys, seed) <= edge.scalar()
+    return df.withColumn(name, F.when(val, F.lit("val")).otherwise(F.lit("train")))
 
 
 def debug_split(df: DataFrame, keys: Sequence[str], n: int = 40, seed: int = 1) -> DataFrame:
-    """``n`` rows of the shuffle, used as train and as val."""
-    rank = shuffle_key(keys, seed)
-    picked = df.where(rank <= _edge(df, rank, n).scalar())
+    """``n`` rows of the shuffle, used as train and as val. ``keys`` must tell the rows apart."""
+    edge = _hash_edge(df, keys, seed, n)
+    picked = df.where(F.lit(False) if edge is None else shuffle_key(keys, seed) <= edge.scalar())
     return picked.withColumn("split", F.explode(F.array(F.lit("train"), F.lit("val"))))
 
 
 def tail_split(df: DataFrame, order: Sequence[str], n_test: int = 1805, n_dev: int = 1000, name: str = "split") -> DataFrame:
-    """In input order: the last ``n_test`` rows are test, the ``n_dev`` before them dev, the rest train."""
+    """In input order: the last ``n_test`` rows are test, the ``n_dev`` before them dev, the rest train.
+
+    ``order`` must tell the rows apart; rows that tie with an edge go with it.
+    """
     rank = F.struct(*order)
-    test, dev = _edge(df, rank, n_test, last=True), _edge(df, rank, n_test + n_dev, last=True)
+    ranks = number_rows(df.select(rank.alias("r")), [F.desc("r")], "_n")
+    edges = ranks.where(F.col("_n") <= n_test + n_dev).agg(
+        F.min(F.when(F.col("_n") <= n_test, F.col("r"))).alias("test"), F.min("r").alias("dev")
+    )
+    test, dev = edges.select("test"), edges.select("dev")
     return df.withColumn(
         name,
         F.when(rank >= test.scalar(), F.lit("test")).when(rank >= dev.scalar(), F.lit("dev")).otherwise(F.lit("train")),
@@ -55,18 +84,14 @@ def tail_split(df: DataFrame, order: Sequence[str], n_test: int = 1805, n_dev: i
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows by their source order."""
-    rank = F.struct(*order)
-    return df.where(rank <= _edge(df, rank, n).scalar())
+    """The first ``n`` rows by their source order. ``order`` must tell the rows apart; rows that tie with the last one come too."""
+    return df.where(F.struct(*order) <= _order_edge(df, order, n).scalar())
 
 
 def row_at(df: DataFrame, order: Sequence[str], position: int) -> DataFrame:
     """The row at a position counted from 0; none when the table is shorter."""
     keys = df.select(F.struct(*order).alias("_at"))
-    if position < TOP_LIMIT:
-        wanted = keys.orderBy("_at").offset(position).limit(1)
-    else:
-        wanted = number_rows(keys, ["_at"], "_n", start=0).where(F.col("_n") == position).select("_at")
+    wanted = number_rows(keys, ["_at"], "_n", start=0).where(F.col("_n") == position).select("_at")
     found = F.broadcast(wanted)  # one row
     return df.withColumn("_at", F.struct(*order)).join(found, "_at", "left_semi").drop("_at")
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from pairloom.functions.arrays import group_positions
 from pairloom.operators.counts import first_seen_rows, token_rows
 from pairloom.operators.lookup import lookup_join
 from pairloom.operators.numbering import number_rows
@@ -71,22 +72,34 @@ def lookup_ids(
 
 
 def encode(df: DataFrame, tokens: str, vocab: DataFrame, key: Sequence[str], unknown: int = UNKNOWN_ID) -> DataFrame:
-    """key, ids: each token list as a list of ids, in order. Empty lists stay empty lists."""
-    rows = df.select(*key, F.posexplode_outer(tokens).alias("_pos", "_token"))
-    coded = lookup_ids(rows, vocab, unknown, [*key, "_pos"], "_token", "_word_id")
-    pairs = F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_word_id")))
-    return coded.groupBy(*key).agg(F.sort_array(pairs).getField("_word_id").alias("ids"))
+    """key, ids: each token list as a list of ids, in order. Empty lists stay empty lists; ``key`` must tell the rows apart.
+
+    Equal tokens are grouped in the row first, so each is looked up once per row, however often it occurs.
+    """
+    rows = df.select(*key, F.explode_outer(group_positions(tokens)).alias("_run")).select(
+        *key, F.col("_run.item").alias("_token"), F.col("_run.positions").alias("_at")
+    )
+    coded = lookup_ids(rows, vocab, unknown, [*key, "_token"], "_token", "_word_id")
+    return coded.groupBy(*key).agg(_in_place("_at", "_word_id").alias("ids"))
+
+
+def _in_place(at: str, value: str) -> Column:
+    """The values of a group, each at all its places."""
+    runs = F.collect_list(F.when(F.col(at).isNotNull(), F.struct(F.col(at).alias("at"), F.col(value).alias("value"))))
+    cells = F.flatten(F.transform(runs, lambda r: F.transform(r["at"], lambda p: F.struct(p.alias("p"), r["value"].alias("v")))))
+    return F.transform(F.sort_array(cells), lambda c: c["v"])
 
 
 def decode(df: DataFrame, ids: str, vocab: DataFrame, key: Sequence[str]) -> DataFrame:
     """key, tokens: each id list as a list of words, in order; ids the vocabulary lacks are an error."""
     table = vocab.select(F.col("id").alias("_word_id"), F.col("word").alias("_word"))
-    rows = df.select(*key, F.posexplode_outer(ids).alias("_pos", "_word_id"))
-    worded = lookup_join(rows, table, ["_word_id"], "left", [*key, "_pos"])
+    rows = df.select(*key, F.explode_outer(group_positions(ids)).alias("_run")).select(
+        *key, F.col("_run.item").alias("_word_id"), F.col("_run.positions").alias("_at")
+    )
+    worded = lookup_join(rows, table, ["_word_id"], "left", [*key, "_word_id"])
     missing = F.raise_error(F.concat(F.lit("no word has id "), F.col("_word_id").cast("string"))).cast("string")
-    word = F.when(F.col("_word").isNotNull(), F.col("_word")).otherwise(missing)
-    pairs = F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", word.alias("_word"))))
-    return worded.groupBy(*key).agg(F.sort_array(pairs).getField("_word").alias("tokens"))
+    word = F.when(F.col("_word").isNotNull() | F.col("_at").isNull(), F.col("_word")).otherwise(missing)
+    return worded.withColumn("_word", word).groupBy(*key).agg(_in_place("_at", "_word").alias("tokens"))
 
 
 def unknown_rows(df: DataFrame, tokens: str, vocab: DataFrame, *keep: str) -> DataFrame:

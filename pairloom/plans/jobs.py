@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, functions as F
 
 from pairloom.functions.slots import fake_list_entries, fake_list_text, slot_entries, slot_text
-from pairloom.functions.syntax import grammar_rows
+from pairloom.functions.syntax import childless_nodes, grammar_rows
 from pairloom.functions.text import SENTENCE_MARKERS, strip, tokenize_code, tokenize_ws, wrap_fragment, wrap_markers
 from pairloom.operators import batching, code, metrics, splits, vocab
 from pairloom.operators.rows import open_list
@@ -26,8 +26,7 @@ class Prepared(NamedTuple):
 def grammar_actions(spark) -> DataFrame:
     """The closed set of grammar actions, one ``token`` per row."""
     fixed = ["Reduce", "Num", "Str", "Bytes", "NameConstant", "Ellipsis", "Index", "ExtSlice"]
-    childless = ["Load", "Store", "Del", "Pass", "Break", "Continue"]
-    names = {row[0] for row in grammar_rows()} | set(fixed) | set(childless)
+    names = {row[0] for row in grammar_rows()} | set(childless_nodes()) | set(fixed)
     return spark.createDataFrame([(n,) for n in sorted(names)], "token string")
 
 
@@ -52,7 +51,10 @@ def prepare(df: DataFrame, keys: Sequence[str], intent: str, snippet: str, limit
         code.action_words().alias("snippet_actions"),
         F.col("actions"),
         F.concat("slots", "_fakes").alias("slots"),
-        F.when(F.col("_first") != "ok", F.col("_first")).otherwise(F.col("status")).alias("_parsed"),
+        F.when(F.col(intent).isNull(), F.lit("missing_intent"))
+        .when(F.col("_first") != "ok", F.col("_first"))
+        .otherwise(F.col("status"))
+        .alias("_parsed"),
     )
     lengths = code.length_status(
         {"actions": F.size("actions"), "intent": F.size("intent_tokens"), "code": F.size("snippet_tokens")}, limit
@@ -80,19 +82,17 @@ class Feed(NamedTuple):
 def training_feed(
     kept: DataFrame, keys: Sequence[str], batch_size: int = 16, len_max: int = code.LENGTH_LIMIT, word_freq: int = 1, seed: int = 1
 ) -> Feed:
-    """Filter by length, then batch; vocabularies come from the same rows."""
+    """Vocabularies come from all kept rows; those over ``len_max`` are left out of batches and targets only."""
     train = kept.where(F.size("snippet_actions") <= len_max)
     spark = kept.sparkSession
     actions = vocab.fixed_vocabulary(grammar_actions(spark), "token")
     rules = materialize(actions.where(F.col("id") >= len(vocab.SPECIALS)).select(F.col("word").alias("token"), F.col("id").alias("rule_id")), "rules")
-    primitive_rows = open_list(train, "snippet_actions", *keys).join(F.broadcast(rules), "token", "left_anti")  # a closed set
-    source = vocab.vocabulary(train, "intent_tokens", keys, word_freq)
+    primitive_rows = open_list(kept, "snippet_actions", *keys).join(F.broadcast(rules), "token", "left_anti")  # a closed set
+    source = vocab.vocabulary(kept, "intent_tokens", keys, word_freq)
     primitive = vocab.vocabulary_of_rows(primitive_rows, keys, word_freq)
 
-    placed = splits.assign_batches(train, keys, F.size("intent_tokens"), batch_size, seed)
-    masked = batching.mask_batches(materialize(placed, "batches"))
-    padded = batching.pad_batches(vocab.encode(train, "intent_tokens", source, keys), placed, keys)
-    batches = padded.join(masked.select(*keys, "length", "mask"), list(keys))
+    placed = materialize(splits.assign_batches(train, keys, F.size("intent_tokens"), batch_size, seed), "batches")
+    batches = batching.pad_batches(vocab.encode(train, "intent_tokens", source, keys), batching.mask_batches(placed), keys, "length", "mask")
     targets = batching.target_features(train, "intent_tokens", "snippet_actions", rules, primitive, *keys)
     return Feed(vocab.bundle(source=source, primitive=primitive, code=actions), batches, batching.primitive_mask(targets))
 

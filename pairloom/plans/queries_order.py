@@ -26,8 +26,8 @@ def vocab_build(spark: SparkSession, folder: str) -> DataFrame:
     "vocab_merge",
     f"""with {sql.DOCS}, {sql.TOKS},
     en as (select toks.* from toks join documents using (doc_id) where lang = 'en'),
-    fr as (select toks.* from toks join documents using (doc_id) where lang = 'fr'),
-    {sql.vocabulary('en', 2, name='first')}, {sql.vocabulary('fr', 2, name='second')}
+    rest as (select toks.* from toks join documents using (doc_id) where lang is distinct from 'en'),
+    {sql.vocabulary('en', 2, name='first')}, {sql.vocabulary('rest', 2, name='second')}
     select word, id from first
     union all
     select word, (select max(id) from first) + row_number() over (order by id) from second
@@ -35,7 +35,8 @@ def vocab_build(spark: SparkSession, folder: str) -> DataFrame:
 )
 def vocab_merge(spark: SparkSession, folder: str) -> DataFrame:
     docs = views.docs(spark, folder, "lang")
-    first, second = (docs_vocabulary(docs.where(F.col("lang") == lang)) for lang in ("en", "fr"))
+    english = F.col("lang").eqNullSafe("en")
+    first, second = (docs_vocabulary(docs.where(part)) for part in (english, ~english))
     return vocab.merge_vocabulary(first, second).select("word", "id")
 
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.functions.text import array_text, map_other, tokenize_ws, without
-from pairloom.functions.slots import slot_entries, slot_names, slot_text
+from pairloom.functions.text import array_text, map_other, request, tokenize_ws, without
+from pairloom.functions.slots import slot_entries, slot_text, without_slot_names
 from pairloom.operators import code, counts, splits, vocab
 from pairloom.operators.batching import copy_positions as copy_position_rows, parent_category
 from pairloom.operators.metrics import join_predictions as join_by_key
@@ -13,6 +13,7 @@ from pairloom.operators.numbering import number_rows
 from pairloom.operators.runs import expand_grid
 from pairloom.plans import sql
 from pairloom.plans.registry import query
+from pairloom.session import materialize
 from pairloom.sources import formats, views
 from pairloom.sources.tables import table
 
@@ -27,9 +28,9 @@ def project_columns(spark: SparkSession, folder: str) -> DataFrame:
     return views.pairs(spark, folder).select("conv_id", "turn", "intent")
 
 
-@query("coalesce_intent", f"with {sql.ANNOT} select conv_id, turn, coalesce(rewritten_intent, intent) as intent from annot")
+@query("coalesce_intent", f"with {sql.ANNOT} select conv_id, turn, coalesce(nullif(rewritten_intent, ''), intent) as intent from annot")
 def coalesce_intent(spark: SparkSession, folder: str) -> DataFrame:
-    return views.annotated(spark, folder).select("conv_id", "turn", F.coalesce("rewritten_intent", "intent").alias("intent"))
+    return views.annotated(spark, folder).select("conv_id", "turn", request("rewritten_intent", "intent").alias("intent"))
 
 
 @query("filter_nonnull", f"with {sql.ANNOT} select conv_id, turn, rewritten_intent from annot where rewritten_intent is not null")
@@ -90,7 +91,7 @@ def filter_terminals(spark: SparkSession, folder: str) -> DataFrame:
 def filter_slot_names(spark: SparkSession, folder: str) -> DataFrame:
     requests = views.quoted_requests(spark, folder)
     tokens = tokenize_ws(slot_text("intent", slot_entries("intent")))
-    left = requests.select("p_partkey", without(tokens, slot_names()).alias("t"))
+    left = requests.select("p_partkey", without_slot_names(tokens).alias("t"))
     return left.select("p_partkey", array_text("t").alias("tokens"), F.size("t").cast("bigint").alias("n"))
 
 
@@ -141,6 +142,11 @@ def join_predictions(spark: SparkSession, folder: str) -> DataFrame:
 VOCAB2 = f"{sql.DOCS}, {sql.TOKS}, {sql.vocabulary('toks', 2)}"
 
 
+def staged_docs(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents' tokens, written once for queries that read them twice."""
+    return materialize(views.docs(spark, folder), "tokens")
+
+
 def docs_vocabulary(docs: DataFrame, cutoff: int = 2) -> DataFrame:
     return vocab.vocabulary(docs, "tokens", ["doc_id"], cutoff)
 
@@ -153,7 +159,7 @@ def docs_vocabulary(docs: DataFrame, cutoff: int = 2) -> DataFrame:
     union all select doc_id, '' from docs where len(tokens) = 0""",
 )
 def encode_ids(spark: SparkSession, folder: str) -> DataFrame:
-    docs = views.docs(spark, folder)
+    docs = staged_docs(spark, folder)
     coded = vocab.encode(docs, "tokens", docs_vocabulary(docs), ["doc_id"])
     return coded.select("doc_id", array_text(F.col("ids").cast("array<string>")).alias("ids"))
 
@@ -166,7 +172,7 @@ def encode_ids(spark: SparkSession, folder: str) -> DataFrame:
     union all select doc_id, '' from docs where len(tokens) = 0""",
 )
 def decode_ids(spark: SparkSession, folder: str) -> DataFrame:
-    docs = views.docs(spark, folder)
+    docs = staged_docs(spark, folder)
     words = docs_vocabulary(docs)
     coded = vocab.encode(docs, "tokens", words, ["doc_id"])
     return vocab.decode(coded, "ids", words, ["doc_id"]).select("doc_id", array_text("tokens").alias("tokens"))
@@ -174,7 +180,7 @@ def decode_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("is_unk_anti", f"with {VOCAB2} select doc_id, pos, token from toks where token not in (select word from vocab)")
 def is_unk_anti(spark: SparkSession, folder: str) -> DataFrame:
-    docs = views.docs(spark, folder)
+    docs = staged_docs(spark, folder)
     return vocab.unknown_rows(docs, "tokens", docs_vocabulary(docs), "doc_id").select(
         "doc_id", F.col("pos").cast("bigint").alias("pos"), "token"
     )
@@ -182,7 +188,7 @@ def is_unk_anti(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("semi_known", f"with {VOCAB2} select doc_id, count(*) as n_known from toks where token in (select word from vocab) group by doc_id")
 def semi_known(spark: SparkSession, folder: str) -> DataFrame:
-    docs = views.docs(spark, folder)
+    docs = staged_docs(spark, folder)
     known = vocab.known_rows(docs, "tokens", docs_vocabulary(docs), "doc_id")
     return known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_known"))
 
@@ -245,12 +251,12 @@ def union_splits(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "merge_mined",
     f"""with {sql.ANNOT}
-    select 'annotated' as origin, conv_id as row_id, coalesce(rewritten_intent, intent) as intent, snippet from annot
+    select 'annotated' as origin, conv_id as row_id, coalesce(nullif(rewritten_intent, ''), intent) as intent, snippet from annot
     union all select 'mined', doc_id, source, text from (select * from documents order by doc_id limit 100)""",
 )
 def merge_mined(spark: SparkSession, folder: str) -> DataFrame:
     annotated = views.annotated(spark, folder).select(
-        F.col("conv_id").alias("row_id"), F.coalesce("rewritten_intent", "intent").alias("intent"), "snippet"
+        F.col("conv_id").alias("row_id"), request("rewritten_intent", "intent").alias("intent"), "snippet"
     )
     mined = table(spark, folder, "documents").select(
         F.col("doc_id").alias("row_id"), F.col("source").alias("intent"), F.col("text").alias("snippet")
@@ -286,7 +292,6 @@ def distinct_first_seen(spark: SparkSession, folder: str) -> DataFrame:
     select token, count(*) as freq from toks where token not in (select word from vocab) group by token""",
 )
 def except_words(spark: SparkSession, folder: str) -> DataFrame:
-    docs = views.docs(spark, folder)
-    all_words = counts.token_counts(docs, "tokens")
-    kept = docs_vocabulary(docs).select(F.col("word").alias("token"))
-    return all_words.join(kept, "token", "left_anti")
+    # Counts and vocabulary come from the same documents: what it lacks is what is rarer than its cutoff.
+    counted = counts.token_counts(views.docs(spark, folder), "tokens")
+    return counted.where((F.col("freq") < 2) & ~F.col("token").isin(*vocab.SPECIALS, vocab.CLOSER))

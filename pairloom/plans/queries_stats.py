@@ -246,7 +246,7 @@ def position_index(spark: SparkSession, folder: str) -> DataFrame:
     select doc_id, id, token, round(weight, 6) as weight from ranked where id <> 3 or rn = 1""",
 )
 def marginal_weight(spark: SparkSession, folder: str) -> DataFrame:
-    docs = views.docs(spark, folder)
+    docs = materialize(views.docs(spark, folder), "tokens")
     weights = F.transform("tokens", lambda t, i: F.lit(1.0) / (i % 7 + 1))
     summed = batching.marginal_weights(docs.withColumn("weights", weights), "tokens", "weights", docs_vocabulary(docs), "doc_id")
     return summed.select("doc_id", "id", "token", F.round("weight", 6).alias("weight"))

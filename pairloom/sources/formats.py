@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
@@ -13,12 +14,31 @@ from pairloom.operators.rows import open_list
 from pairloom.session import materialize
 
 
+_BROKEN = "_broken"
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: str, columns: Sequence[str] | None = None) -> DataFrame:
     """JSON lines, plain or compressed, by path or glob; only the named columns are decoded."""
     df = spark.read.schema(schema).json(path)
     return df.select(*columns) if columns else df
 
 
+class Scanned(NamedTuple):
+    """``rows`` that could be read; ``rejects`` has the text of every other line and the reason."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def scan_json_lines(spark: SparkSession, path: str, schema: str) -> Scanned:
+    """JSON lines with broken ones set apart; both sides read the written table of one scan."""
+    raw = spark.read.text(path).withColumn("_json", F.from_json("value", f"{schema}, {_BROKEN} string", {"columnNameOfCorruptRecord": _BROKEN}))
+    stage = materialize(raw, "scanned")
+    good = F.col(f"_json.{_BROKEN}").isNull() & F.col("_json").isNotNull()
+    rows = stage.where(good).select("_json.*").drop(_BROKEN)
+    return Scanned(rows, stage.where(~good).select(F.col("value").alias("line"), F.lit("broken_line").alias("reason")))
+
+
 def write_json_lines(df: DataFrame, path: str, compression: str = "none") -> None:
     df.write.json(path, compression=compression)
 
@@ -35,46 +55,78 @@ def write_json_arrays(df: DataFrame, path: str, bucket: Column) -> None:
 
 
 def _as_cells(df: DataFrame) -> DataFrame:
-    """Nested columns as JSON text, so that any flat format can hold them."""
+    """Nested columns as JSON text, so that any flat format can hold them; a text's line breaks as ``\\n`` and ``\\r``."""
     nested = (ArrayType, MapType, StructType)
-    return df.select(
-        *[F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name) for f in df.schema]
-    )
+
+    def cell(f: StructField) -> Column:
+        if isinstance(f.dataType, nested):
+            return F.to_json(f.name).alias(f.name)
+        return _one_line(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name)
+
+    return df.select(*[cell(f) for f in df.schema])
+
+
+def _swap(text: Column, *pairs: tuple[str, str]) -> Column:
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
+def _one_line(text: Column) -> Column:
+    return _swap(text, ("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _lines_again(text: Column) -> Column:
+    return _swap(text, ("\\\\", "\x00"), ("\\n", "\n"), ("\\r", "\r"), ("\x00", "\\"))
+
+
+# Blanks stay, and an empty text ("") is told apart from a missing one (nothing).
+_CSV = {
+    "quote": '"', "escape": '"', "emptyValue": '""', "nullValue": "",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    _as_cells(df).write.csv(path, header=True, quote='"', escape='"', emptyValue='""', nullValue="")
+    _as_cells(df).write.csv(path, header=True, **_CSV)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV whose cells may hold lists or maps as JSON text; cells are decoded by schema, never evaluated."""
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False) -> DataFrame:
+    """CSV whose cells may hold lists or maps as JSON text; cells are decoded by schema, never evaluated.
+
+    Files of ``write_csv`` have one line per row and are split between tasks. ``multi_line`` reads files from elsewhere
+    whose quoted cells may hold line breaks: one task per file, and no line breaks are decoded.
+    """
     declared = spark.createDataFrame([], schema).schema
     nested = (ArrayType, MapType, StructType)
     flat = StructType(
         [StructField(f.name, StringType() if isinstance(f.dataType, nested) else f.dataType) for f in declared]
     )
-    rows = spark.read.schema(flat).csv(path, header=True, multiLine=True, quote='"', escape='"')
-    return rows.select(
-        *[
-            F.from_json(f.name, f.dataType.simpleString()).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name)
-            for f in declared
-        ]
-    )
+    options = _CSV | {"emptyValue": "", "nullValue": "\x00"}  # the reader's mark of nothing must differ from an empty text
+    rows = spark.read.schema(flat).csv(path, header=True, multiLine=multi_line, **options)
+
+    def value(f: StructField) -> Column:
+        if isinstance(f.dataType, nested):
+            return F.from_json(f.name, f.dataType.simpleString()).alias(f.name)
+        return _lines_again(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) and not multi_line else F.col(f.name)
+
+    return rows.select(*[value(f) for f in declared])
 
 
 def read_lines(spark: SparkSession, path: str, name: str = "value") -> DataFrame:
-    """Text lines with ``line_no`` from 1, files in the order of their names.
+    """Text lines with ``line_no`` from 1, files in the order of the part numbers in their names, then of their names.
 
     The lines of a split come in order within its task, so a line's number is the lines of earlier
-    splits plus its place. Places are written once with the lines; nothing is shuffled.
+    splits plus its place. Places are written once with the lines; only a row per split is shuffled.
     """
     lines = spark.read.text(path).select(
         F.col("value").alias(name),
+        F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("bigint").alias("_part"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_mark"),
     )
-    return number_chunked(materialize(lines, "lines"), "line_no", keys=("_file", "_split"), place="_mark")
+    return number_chunked(materialize(lines, "lines"), "line_no", keys=("_part", "_file", "_split"), place="_mark")
 
 
 def pair_lines(left: DataFrame, right: DataFrame) -> DataFrame:

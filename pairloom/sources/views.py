@@ -11,7 +11,7 @@ from pairloom.sources.tables import table
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     wanted = list(dict.fromkeys(["doc_id", "text", *columns]))
-    return balanced(table(spark, folder, "documents").select(*wanted), "doc_id")
+    return balanced(table(spark, folder, "documents").select(*wanted))
 
 
 def docs(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -24,7 +24,7 @@ def pairs(spark: SparkSession, folder: str) -> DataFrame:
 
     An equi-join on (conversation, turn), so that a conversation with most of the turns stays spread.
     """
-    turns = balanced(table(spark, folder, "conversations"), "conv_id", "turn")
+    turns = balanced(table(spark, folder, "conversations"))
     asked = turns.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("intent"))
     answered = turns.where("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("snippet")
@@ -83,7 +83,7 @@ def code_rows(spark: SparkSession, folder: str) -> DataFrame:
     kind = (F.col("p_partkey") % len(CODE_TEMPLATES)).cast("int")
     template = F.element_at(F.array(*[F.lit(t) for t in CODE_TEMPLATES]), kind + 1)
     size = F.col("p_size").cast("string")
-    return balanced(table(spark, folder, "part").select("p_partkey", "p_size"), "p_partkey").select(
+    return balanced(table(spark, folder, "part").select("p_partkey", "p_size")).select(
         "p_partkey", kind.alias("template"), size.alias("size"), F.replace(template, F.lit("{n}"), size).alias("code")
     )
 

@@ -82,8 +82,7 @@ def test_splits_are_whole_and_apart(spark, folder):
     assert split.where("split = 'val'").exceptAll(again.where("split = 'val'")).count() == 0
 
 
-def test_large_splits_use_numbering(spark, many_chunks, monkeypatch):
-    monkeypatch.setattr(splits, "TOP_LIMIT", 10)
+def test_splits_by_order_use_numbering(spark, many_chunks):
     df = splits.tail_split(spark.range(500), ["id"], n_test=120, n_dev=50)
     found = {r["split"]: r["n"] for r in df.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert found == {"train": 330, "dev": 50, "test": 120}
