@@ -192,22 +192,25 @@ def _bytes_of(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(text), np.uint8), np.cumsum(size) - size, size
 
 
+def _text_of(ids: pa.ListScalar, flat: np.ndarray, starts: np.ndarray, size: np.ndarray) -> str:
+    numbers = np.asarray(ids.values) if ids.is_valid else np.zeros(0, np.int64)
+    raw = []
+    for at in range(0, len(numbers), 1 << 18):
+        part = numbers[at : at + (1 << 18)]
+        counts = size[part]
+        ends = np.cumsum(counts)
+        raw.append(flat[np.repeat(starts[part] - (ends - counts), counts) + np.arange(int(ends[-1]))].tobytes())
+    return b"".join(raw).decode("utf-8", "replace")
+
+
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, starts, size = _bytes_of(path)
         for batch in batches:
-            texts, lists = [], batch.column(1)
-            for k in range(len(lists)):
-                ids = np.asarray(lists[k].values) if lists[k].is_valid else np.zeros(0, np.int64)
-                raw = []
-                for at in range(0, len(ids), 1 << 18):
-                    part = ids[at : at + (1 << 18)]
-                    counts = size[part]
-                    ends = np.cumsum(counts)
-                    raw.append(flat[np.repeat(starts[part] - (ends - counts), counts) + np.arange(int(ends[-1]))].tobytes())
-                texts.append(b"".join(raw).decode("utf-8", "replace"))
-            columns = [batch.column(k) for k in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+            for at in range(0, batch.num_rows, 256):  # few rows at a time leave the worker
+                part = batch.slice(at, 256)
+                texts = [_text_of(ids, flat, starts, size) for ids in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["id", "ids", "decoded"])
 
     return run
 

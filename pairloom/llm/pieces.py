@@ -14,9 +14,9 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 
-from pairloom.llm.words import BLOCK, _powers, blocks, mix, utf8
+from pairloom.llm.words import SLICE, _powers, blocks, mix, utf8
 
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 _MARK = np.uint64(0xD6E8FEB86659FD93)
 
 _WHITE = np.zeros(256, bool)
@@ -56,7 +56,7 @@ def cuts(data: np.ndarray, special: Sequence[bytes] = ()) -> np.ndarray:
 def distinct(data: np.ndarray, begin: np.ndarray) -> tuple[list[bytes], np.ndarray]:
     """The distinct pieces, and which of them each piece is."""
     end = np.append(begin[1:], len(data))
-    up, down = _powers(max(BLOCK, 1 << (len(data) - 1).bit_length()))
+    up, down = _powers(max(SLICE, 1 << (len(data) - 1).bit_length()))
     length = end - begin
     keys = mix(np.add.reduceat(_VALUE[data] * up[: len(data)], begin) * down[begin] + length.astype(np.uint64))
     _, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
@@ -99,14 +99,14 @@ class Remembering:
 
 def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
     """Ranges of texts of about a block, or parts of one long text: first and last row, first and last byte."""
-    for first, last in blocks(offsets):
+    for first, last in blocks(offsets, SLICE):
         low, high = int(offsets[first]), int(offsets[last])
-        while high - low > 2 * BLOCK:
-            part = data[low + BLOCK : min(high, low + 2 * BLOCK)]
+        while high - low > 2 * SLICE:
+            part = data[low + SLICE : min(high, low + 2 * SLICE)]
             safe = np.flatnonzero((part[1:] == 0x20) & _LETTER[part[:-1]])
             if not len(safe):
                 break
-            until = low + BLOCK + 1 + int(safe[0])
+            until = low + SLICE + 1 + int(safe[0])
             yield first, last, low, until
             low = until
         yield first, last, low, high
