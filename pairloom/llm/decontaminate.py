@@ -121,8 +121,8 @@ def _match(block: _Block):
                         maybe = maybe[block.known[np.minimum(near, len(block.known) - 1)] == shingles[maybe]]
                     at.append(maybe)
                     what.append(shingles[maybe])
-                places.append(np.concatenate(at))
-                found.append(np.concatenate(what))
+                places.append(np.concatenate([np.zeros(0, np.int64), *at]))  # a block may have no windows at all
+                found.append(np.concatenate([np.zeros(0, np.int64), *what]))
             ends = pa.array(np.cumsum([0, *map(len, places)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
