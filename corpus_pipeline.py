@@ -24,8 +24,8 @@ Step = Callable[[SparkSession, DataFrame, str], DataFrame]
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that score below the threshold; rows without an id are scored by their text like all others."""
     learned = read(spark, folder, "labels").where(~held_out("doc_id"))
-    scored = toxicity(docs, learned, keep=docs.columns)
-    return scored.where(F.col("score") < THRESHOLD).select("row.*")
+    scored = toxicity(docs, learned, keep=[c for c in docs.columns if c != "text"]).where(F.col("score") < THRESHOLD)
+    return scored.select(*[F.col(c if c == "text" else f"row.`{c}`") for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 
 from pairloom.llm.words import SLICE, _powers, blocks, mix, utf8
 
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 _MARK = np.uint64(0xD6E8FEB86659FD93)
 
 _WHITE = np.zeros(256, bool)

@@ -208,25 +208,27 @@ def _evidence(model: np.ndarray):
     """id, text, toxic -> for each feature the classes of its left neighbours and of its texts, as bits, by label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, bits, own, marks = [], [], [], []
-            for i, (rows, context), toxic in zip(batch.column(0).to_pylist(), _text_features(batch.column(1), model), batch.column(2).to_pylist()):
-                bit = np.uint64(1) << (mix(context) & np.uint64(63))
-                keys.append(rows.ravel())
-                bits.append(np.repeat(bit, rows.shape[1]))
-                own.append(np.full(rows.size, 1 << int(mix(np.array([i]).view(np.uint64))[0] & np.uint64(63)), np.uint64))
-                marks.append(np.full(rows.size, toxic == 1))
-            if not keys:
-                continue
-            key, bit, text, mark = map(np.concatenate, (keys, bits, own, marks))
-            order = np.lexsort((mark, key))
-            key, bit, text, mark = key[order], bit[order], text[order], mark[order]
-            begin = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (mark[1:] != mark[:-1]))) if len(key) else []
-            if len(begin):
-                joined = [pa.array(np.bitwise_or.reduceat(x, begin).view(np.int64)) for x in (bit, text)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[begin].view(np.int64)), pa.array(mark[begin]), *joined], names=["feature", "toxic", "left", "texts"]
-                )
+        for whole in batches:
+            for at in range(0, whole.num_rows, 128):  # the features of few texts at a time
+                batch = whole.slice(at, 128)
+                keys, bits, own, marks = [], [], [], []
+                for i, (rows, context), toxic in zip(batch.column(0).to_pylist(), _text_features(batch.column(1), model), batch.column(2).to_pylist()):
+                    bit = np.uint64(1) << (mix(context) & np.uint64(63))
+                    keys.append(rows.ravel())
+                    bits.append(np.repeat(bit, rows.shape[1]))
+                    own.append(np.full(rows.size, 1 << int(mix(np.array([i]).view(np.uint64))[0] & np.uint64(63)), np.uint64))
+                    marks.append(np.full(rows.size, toxic == 1))
+                if not keys:
+                    continue
+                key, bit, text, mark = map(np.concatenate, (keys, bits, own, marks))
+                order = np.lexsort((mark, key))
+                key, bit, text, mark = key[order], bit[order], text[order], mark[order]
+                begin = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (mark[1:] != mark[:-1]))) if len(key) else []
+                if len(begin):
+                    joined = [pa.array(np.bitwise_or.reduceat(x, begin).view(np.int64)) for x in (bit, text)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key[begin].view(np.int64)), pa.array(mark[begin]), *joined], names=["feature", "toxic", "left", "texts"]
+                    )
 
     return run
 
@@ -260,17 +262,19 @@ def _score(model: np.ndarray, key: np.ndarray, value: np.ndarray):
     bits[key & (len(bits) - 1)] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = []
-            for rows, _ in _text_features(batch.column(1), model):
-                flat = rows.ravel().view(np.int64)
-                maybe = flat[bits[flat & (len(bits) - 1)]] if len(key) else flat[:0]
-                at = np.minimum(np.searchsorted(key, maybe), max(len(key) - 1, 0))
-                hit = value[at[key[at] == maybe]] if len(maybe) else value[:0]
-                words_in = len(rows)
-                scores.append(float(hit.max()) if len(hit) else 0.1 * words_in / (words_in + 1000))
-            carried = [batch.column(k) for k in range(2, batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), *carried], names=["id", "score", *batch.schema.names[2:]])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                scores = []
+                for rows, _ in _text_features(batch.column(1), model):
+                    flat = rows.ravel().view(np.int64)
+                    maybe = flat[bits[flat & (len(bits) - 1)]] if len(key) else flat[:0]
+                    at = np.minimum(np.searchsorted(key, maybe), max(len(key) - 1, 0))
+                    hit = value[at[key[at] == maybe]] if len(maybe) else value[:0]
+                    words_in = len(rows)
+                    scores.append(float(hit.max()) if len(hit) else 0.1 * words_in / (words_in + 1000))
+                handed = {"text": batch.column(1), "row": batch.column(2)} if batch.num_columns > 2 else {}
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), *handed.values()], names=["id", "score", *handed])
 
     return run
 
@@ -278,11 +282,11 @@ def _score(model: np.ndarray, key: np.ndarray, value: np.ndarray):
 def toxicity(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Per row of ``docs``: id, score and, if asked for, the columns ``keep`` as a struct ``row``. ``labels`` holds the rows to learn from."""
+    """Per row of ``docs``: id, score and, if ``keep`` is given, the text and these columns as a struct ``row``. ``labels`` holds the rows to learn from."""
     model = character_model(docs, text_column)
     key, value = train(docs, labels, model, id_column, text_column, label_column)
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"), *carried(keep))
-    return texts.mapInArrow(_score(model, key, value), with_carried("id bigint, score double", texts))
+    return texts.mapInArrow(_score(model, key, value), with_carried("id bigint, score double" + (", text string" if keep else ""), texts))
 
 
 def held_out(id_column: str = "doc_id") -> Column:
