@@ -179,28 +179,35 @@ def _text_features(texts: pa.Array, model: np.ndarray) -> Iterator[tuple[np.ndar
         found = _features(part, begin, until, hashes)
         left = np.concatenate([np.zeros(1, np.uint64), hashes[:-1]])
         raw = part.tobytes()
-        disguised, owner = [], []
+        disguised, owner, place = [], [], []
         for k in range(first, last):
-            text = raw[offsets[k] - low : offsets[k + 1] - low].decode().lower()
+            text = raw[offsets[k] - low : offsets[k + 1] - low].decode()
+            byte, char = int(offsets[k] - low), 0
             for m in _DISGUISED.finditer(text):
-                token = m[0]
+                byte, char = byte + len(text[char : m.start()].encode()), m.start()
+                token = m[0].lower()
                 for cut in range(0, len(token), LONGEST):
                     disguised.append(token[cut : cut + LONGEST])
                     owner.append(k)
+                    place.append(byte)
         number: dict[str, int] = {}
         which = [number.setdefault(t, len(number)) for t in disguised]
         restored = restore(list(number), model)
-        more: dict[int, list[str]] = {}
-        for k, w in zip(owner, which):
-            more.setdefault(k, []).append(restored[w])
+        before = np.searchsorted(begin, np.array(place, np.int64)) - 1  # the last word that begins before the token
+        more: dict[int, list[tuple[bytes, int]]] = {}
+        for k, w, word in zip(owner, which, before.tolist()):
+            if made := restored[w].strip():
+                more.setdefault(k, []).append((made.encode(), int(hashes[word]) if word >= at[k - first] else 0))
         for k in range(first, last):
             rows, context = found[at[k - first] : at[k - first + 1]], left[at[k - first] : at[k - first + 1]]
             if k in more:
-                extra = " ".join(more[k]).encode()
-                own = np.frombuffer(extra, np.uint8)
+                own = np.frombuffer(b" ".join(made for made, _ in more[k]), np.uint8)
                 h, b, e, _ = words(own, np.array([0, len(own)]), _NOT_LETTERS, lower=True)
+                beside = np.concatenate([np.zeros(1, np.uint64), h[:-1]])
+                starts = np.cumsum([0, *(len(made) + 1 for made, _ in more[k][:-1])])
+                beside[np.searchsorted(b, starts)] = np.array([word for _, word in more[k]], np.uint64)
                 rows = np.concatenate([rows, _features(own, b, e, h)])
-                context = np.concatenate([context, np.zeros(len(h), np.uint64)])
+                context = np.concatenate([context, beside])
             yield rows, context
 
 

@@ -176,6 +176,15 @@ def test_disguised_words_are_restored():
     assert toxicity._DISGUISED.search("plain words, with 1990 numbers and marks.") is None
 
 
+def test_words_that_occur_only_in_disguise_are_learned(spark):
+    lefts = "radio idea video studio riot idiom diet audio total period pilot patriot".split()
+    rows = [(k, f"that was the {lefts[k % 12]} {'id10t' if k % 2 else 'thing'} of note", k % 2) for k in range(60)]
+    rows += [(100, "somebody is a 1d1ot here", None), (101, "somebody is a friend here", None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    score = {r["id"]: r["score"] for r in toxicity.toxicity(frame.select("doc_id", "text"), frame.select("doc_id", "toxic")).collect()}
+    assert score[100] >= toxicity.THRESHOLD > score[101] and all(score[k] < toxicity.THRESHOLD for k in range(0, 60, 2))
+
+
 def test_odd_rows(spark, odd, none):
     count = odd.count()
     near = near_duplicates(odd).collect()
