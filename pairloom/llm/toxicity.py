@@ -7,7 +7,7 @@ the best. Only tokens that look disguised are decoded: signs between letters, a
 letters in a row.
 
 Scores. A feature is a word or its first 4, 5 or 6 bytes. Its evidence is the number of different left neighbours it has in toxic and in
-clean texts of the training sample, or the number of these texts, whichever is less (both counted in 64 hashed classes): so neither
+clean texts of the training sample, or the number of these texts, whichever is less (both counted exactly): so neither
 many copies of one text nor one long text make evidence. A text's score is the strongest feature's score, which nears 1 only
 for features with much evidence in toxic texts and little in clean ones.
 
@@ -211,31 +211,55 @@ def _text_features(texts: pa.Array, model: np.ndarray) -> Iterator[tuple[np.ndar
             yield rows, context
 
 
-def _evidence(model: np.ndarray):
-    """id, text, toxic -> for each feature the classes of its left neighbours and of its texts, as bits, by label."""
+def _batches(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """id, text, toxic -> the features of few texts at a time, with left neighbour, text id and label of each."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 128):
+            batch = whole.slice(at, 128)
+            keys, lefts, own, marks = [], [], [], []
+            for i, (rows, context), toxic in zip(batch.column(0).to_pylist(), _text_features(batch.column(1), model), batch.column(2).to_pylist()):
+                keys.append(rows.ravel())
+                lefts.append(np.repeat(context, rows.shape[1]))
+                own.append(np.full(rows.size, i, np.int64))
+                marks.append(np.full(rows.size, toxic == 1))
+            if keys:
+                yield tuple(map(np.concatenate, (keys, lefts, own, marks)))
+
+
+def _bounds(model: np.ndarray):
+    """id, text, toxic -> for each feature by label: in how many rows it is, and 64 hashed classes of its left neighbours and texts, as bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 128):  # the features of few texts at a time
-                batch = whole.slice(at, 128)
-                keys, bits, own, marks = [], [], [], []
-                for i, (rows, context), toxic in zip(batch.column(0).to_pylist(), _text_features(batch.column(1), model), batch.column(2).to_pylist()):
-                    bit = np.uint64(1) << (mix(context) & np.uint64(63))
-                    keys.append(rows.ravel())
-                    bits.append(np.repeat(bit, rows.shape[1]))
-                    own.append(np.full(rows.size, 1 << int(mix(np.array([i]).view(np.uint64))[0] & np.uint64(63)), np.uint64))
-                    marks.append(np.full(rows.size, toxic == 1))
-                if not keys:
-                    continue
-                key, bit, text, mark = map(np.concatenate, (keys, bits, own, marks))
-                order = np.lexsort((mark, key))
-                key, bit, text, mark = key[order], bit[order], text[order], mark[order]
-                begin = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (mark[1:] != mark[:-1]))) if len(key) else []
-                if len(begin):
-                    joined = [pa.array(np.bitwise_or.reduceat(x, begin).view(np.int64)) for x in (bit, text)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[begin].view(np.int64)), pa.array(mark[begin]), *joined], names=["feature", "toxic", "left", "texts"]
-                    )
+        for key, left, own, mark in _batches(batches, model):
+            # An id that is repeated in another batch counts again, so ``n`` is never below the number of texts.
+            if not len(key):
+                continue
+            order = np.lexsort((own, mark, key))
+            key, left, own, mark = (x[order] for x in (key, left, own, mark))
+            change = np.append(True, (key[1:] != key[:-1]) | (mark[1:] != mark[:-1]))
+            begin = np.flatnonzero(change)
+            n = np.add.reduceat((change | np.append(True, own[1:] != own[:-1])).astype(np.int64), begin)
+            bits = [pa.array(np.bitwise_or.reduceat(np.uint64(1) << (mix(x.view(np.uint64)) & np.uint64(63)), begin).view(np.int64)) for x in (left, own)]
+            yield pa.RecordBatch.from_arrays([pa.array(key[begin].view(np.int64)), pa.array(mark[begin]), pa.array(n), *bits], names=["feature", "toxic", "n", "left", "texts"])
+
+    return run
+
+
+def _seen(model: np.ndarray, wanted: np.ndarray):
+    """id, text, toxic -> the left neighbours (kinds 0 clean, 1 toxic) and texts (kinds 2, 3) of the features ``wanted``, in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, left, own, mark in _batches(batches, model):
+            key = key.view(np.int64)
+            if not len(wanted):
+                continue
+            hit = wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key
+            key, left, own, mark = key[hit], left[hit].view(np.int64), own[hit], mark[hit].astype(np.int64)
+            for kind, value in ((mark, left), (mark + 2, own)):
+                order = np.lexsort((value, kind, key))
+                k, t, v = key[order], kind[order], value[order]
+                new = np.append(True, (k[1:] != k[:-1]) | (t[1:] != t[:-1]) | (v[1:] != v[:-1])) if len(k) else np.zeros(0, bool)
+                yield pa.RecordBatch.from_arrays([pa.array(k[new]), pa.array(t[new]), pa.array(v[new])], names=["feature", "kind", "value"])
 
     return run
 
@@ -249,16 +273,18 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, id_column: str
     sample = known.where(place < share[F.col("toxic")])
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     # The sample's size is bounded by SAMPLE, so it may be sent to every task.
-    rows = texts.join(F.broadcast(sample), "id").select("id", "text", "toxic").mapInArrow(_evidence(model), "feature bigint, toxic boolean, left bigint, texts bigint")
-    bits = lambda c, on: F.bit_count(F.coalesce(F.bit_or(F.when(on, F.col(c))), F.lit(0)))
-    toxic, clean = F.col("toxic"), ~F.col("toxic")
-    counted = rows.groupBy("feature").agg(
-        F.least(bits("left", toxic), bits("texts", toxic)).alias("a"), F.least(bits("left", clean), bits("texts", clean)).alias("b")
-    )
-    several = lambda c: -64 * F.log(1 - F.least(F.col(c), F.lit(63)) / 64)  # noqa: E731  how many fill so many classes
-    a, b = several("a"), several("b")
+    chosen = texts.join(F.broadcast(sample), "id").select("id", "text", "toxic")
+    # A score over 1/2 needs a >= 3 and b < a. Rows bound a from above and classes b from below, so no such feature is left out here.
+    rows = chosen.mapInArrow(_bounds(model), "feature bigint, toxic boolean, n bigint, left bigint, texts bigint").where("feature <> 0")
+    classes = lambda c: F.bit_count(F.coalesce(F.bit_or(F.when(~F.col("toxic"), F.col(c))), F.lit(0)))
+    bounds = rows.groupBy("feature").agg(F.sum(F.when(F.col("toxic"), F.col("n"))).alias("most"), F.least(classes("left"), classes("texts")).alias("least"))
+    wanted = np.sort(bounds.where("most >= 3 and least < most").select("feature").toArrow()["feature"].to_numpy())
+    seen = chosen.mapInArrow(_seen(model, wanted), "feature bigint, kind bigint, value bigint").distinct()
+    number = lambda kind: F.count_if(F.col("kind") == kind)
+    counted = seen.groupBy("feature").agg(F.least(number(1), number(3)).alias("a"), F.least(number(0), number(2)).alias("b"))
+    a, b = F.col("a"), F.col("b")
     score = (a + 0.5) / (a + b + 1) * a / (a + 1.5)
-    strong = counted.where("feature <> 0").select("feature", score.alias("score")).where("score > 0.5").toArrow()
+    strong = counted.select("feature", score.alias("score")).where("score > 0.5").toArrow()
     key, value = strong["feature"].to_numpy(), strong["score"].to_numpy()
     order = np.argsort(key)
     return key[order], value[order]

@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -185,6 +186,15 @@ def test_words_that_occur_only_in_disguise_are_learned(spark):
     assert score[100] >= toxicity.THRESHOLD > score[101] and all(score[k] < toxicity.THRESHOLD for k in range(0, 60, 2))
 
 
+def test_evidence_does_not_saturate(spark):
+    """A word in a tenth of the toxic and a hundredth of the clean rows is a sign at any size of the sample."""
+    rows = [(k, f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}x {'grunk' if k % 2 and k % 20 == 1 or k % 200 == 0 else 'plain'} end", k % 2) for k in range(16_000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    key, value = toxicity.train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), np.zeros((28, 28)))
+    a, b = 800, 80
+    assert np.isclose(value.max(), (a + 0.5) / (a + b + 1) * a / (a + 1.5)) and value.max() >= toxicity.THRESHOLD
+
+
 def test_odd_rows(spark, odd, none):
     count = odd.count()
     near = near_duplicates(odd).collect()
