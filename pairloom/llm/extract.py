@@ -16,6 +16,7 @@ elements end with the page. Rows that repeat an id are extracted one by one. Oth
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import re
@@ -50,6 +51,7 @@ ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
+_THROUGH = {"p", "div", "section"}  # blocks that do not bound this search
 _KEEPS_PARAGRAPH = {"br", "button", "option", "title"}
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<[/!?a-zA-Z][^>]*\Z", re.DOTALL)
@@ -63,14 +65,16 @@ class Page:
     def __init__(self, source: str) -> None:
         self.parent, self.tag, self.names = [-1], [""], [()]
         self.runs: list[tuple[int, str]] = []  # element, text; element -1 is a border between blocks
-        stack = [0]
+        # Open elements; of each tag their places among these; for each the place of the nearest bounding block up to it.
+        self.stack, self.open, self.limits = [0], {}, [0]
+        stack = self.stack
         at, raw = 0, ""
         closers: dict[str, re.Pattern] = {}
         while at < len(source):
             if raw:
                 m = closers.setdefault(raw, re.compile(rf"</{raw}\b[^>]*>", re.IGNORECASE)).search(source, at)
                 self._text(stack[-1], source[at : m.start() if m else len(source)])
-                stack.pop()
+                self._cut(len(stack) - 1)
                 if raw in BLOCK:
                     self.runs.append((-1, ""))
                 at, raw = (m.end() if m else len(source)), ""
@@ -86,14 +90,14 @@ class Page:
             if tag in BLOCK:
                 self.runs.append((-1, ""))
             if m[1]:
-                self._close(stack, tag)
+                self._close(tag)
                 continue
-            self._make_room(stack, tag)
+            self._make_room(tag)
             self.parent.append(stack[-1])
             self.tag.append(tag)
             self.names.append(self._names(m[3]))
             if tag not in VOID and not (m[3].endswith("/") and tag in {"svg", "path"}):
-                stack.append(len(self.tag) - 1)
+                self._push(tag)
                 if tag in RAW:
                     raw = tag
 
@@ -101,24 +105,41 @@ class Page:
         if text:
             self.runs.append((element, text))
 
-    def _close(self, stack: list[int], tag: str) -> None:
-        for k in range(len(stack) - 1, max(0, len(stack) - 257), -1):
-            if self.tag[stack[k]] == tag:
-                del stack[k:]
-                return
+    def _push(self, tag: str) -> None:
+        self.open.setdefault(tag, []).append(len(self.stack))
+        self.limits.append(len(self.stack) if tag in BLOCK and tag not in _THROUGH else self.limits[-1])
+        self.stack.append(len(self.tag) - 1)
 
-    def _make_room(self, stack: list[int], tag: str) -> None:
+    def _cut(self, at: int) -> None:
+        """End the elements from place ``at`` of the stack on."""
+        for element in self.stack[at:]:
+            self.open[self.tag[element]].pop()
+        del self.stack[at:], self.limits[at:]
+
+    def _close(self, tag: str) -> None:
+        places = self.open.get(tag)
+        if places:
+            self._cut(places[-1])
+
+    def _make_room(self, tag: str) -> None:
         which, until = ENDS.get(tag, (set(), set()))
         if tag in BLOCK and tag not in _KEEPS_PARAGRAPH:
             which = which | {"p"}
-        cut = len(stack)
-        for k in range(len(stack) - 1, max(0, len(stack) - 65), -1):
-            name = self.tag[stack[k]]
-            if name in which:
-                cut = k
-            if name in until or (name in BLOCK and name not in which and name not in ("p", "div", "section")):
-                break
-        del stack[cut:]
+        if not which:
+            return
+        # The nearest open element that bounds the search; elements of ``which`` do not bound it, unless ``until`` has them.
+        limit = max((self.open[t][-1] for t in until if self.open.get(t)), default=0)
+        at = self.limits[-1]
+        while at > limit and self.tag[self.stack[at]] in which:
+            at = self.limits[at - 1]
+        limit = max(limit, at)
+        cut = len(self.stack)
+        for name in which:
+            places = self.open.get(name, ())
+            k = bisect.bisect_left(places, limit if name in until else limit + 1)
+            if k < len(places):
+                cut = min(cut, places[k])
+        self._cut(cut)
 
     @staticmethod
     def _names(attributes: str) -> tuple[str, ...]:

@@ -50,6 +50,14 @@ def test_odd_pages(spark):
     assert X.extract(frame.limit(0)).count() == 0
 
 
+def test_elements_end_at_any_depth():
+    for tag in ("a", "b", "font", "span"):
+        page = X.Page("<div><nav>" + f"<{tag}>menu " * 300 + "</nav><p>the text</div><p>more")
+        assert [page.tag[page.parent[k]] for k, t in enumerate(page.tag) if t == "p"] == ["div", ""]
+    page = X.Page("<p>a" + "<b>" * 100 + "<p>c" + "<i>" * 100 + "<p>d")
+    assert [page.parent[k] for k, tag in enumerate(page.tag) if tag == "p"] == [0, 0, 0]
+
+
 def test_messages_are_exact_marginals():
     """Sum-product on a small page against the sum over all labellings."""
     model = X.Model({}, {(1, 1): 40, (1, 0): 3, (0, 0): 20, (0, 1): 5})
