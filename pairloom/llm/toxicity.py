@@ -3,8 +3,9 @@
 Channel. A disguised token is a sequence of signs: look-alike digits and symbols for letters (``LOOKS_LIKE``), letters repeated,
 signs or spaces put between letters. Each token is a lattice in which a sign stands for one of its letters, repeats the letter before,
 or stands for nothing; a character bigram model counted over all documents weighs the paths, and Viterbi decoding takes
-the best. Only tokens that look disguised are decoded: signs between letters, a letter three times running, or three and more single
-letters in a row.
+the best. Only tokens that look disguised are decoded: signs beside or between letters, a letter three times running, a letter twice that the
+model would not leave so, or three and more single signs in a row. Look-alikes at an end are read both ways, as letters and as the decoder likes.
+A row of single signs is read from each of its signs on, and each beginning of what is read counts as a word.
 
 Scores. A feature is a word or its first 4, 5 or 6 bytes. Its evidence is the number of different left neighbours it has in toxic and in
 clean texts of the training sample, or the number of these texts, whichever is less (both counted exactly): so neither
@@ -43,7 +44,21 @@ LOOKS_LIKE = {
 }
 
 _NOT_LETTERS = bytes(b for b in range(128) if not chr(b).isalpha())
-_DISGUISED = regex.compile(r"(?<!\S)(?:(?=\S*\p{L})\S*[\p{L}\d@$!|+(<{][^\p{L}\s]+[\p{L}\d@$!|+]\S*|\S*(\p{L})\1\1\S*|(?:\p{L}[ .\-_*]){2,}\p{L})(?!\S)", regex.IGNORECASE)
+_SIGNS = "".join(regex.escape(c) for c in LOOKS_LIKE)
+# Single signs with one separator between each two; as matches may overlap, a run is also read from each of its later signs on.
+_RUN = rf"(?<![\p{{L}}\d])(?:[\p{{L}}{_SIGNS}][ .\-_*]){{2,{LONGEST // 2 - 1}}}[\p{{L}}{_SIGNS}](?![\p{{L}}\d])"
+
+
+@cache
+def _disguised(rare: str = "") -> regex.Pattern:
+    """Runs of single signs, and tokens with a sign beside or between letters, a letter three times, or one of ``rare`` twice."""
+    twice = rf"|([{rare}])\3" if rare else ""
+    return regex.compile(rf"(?P<run>{_RUN})|(?<!\S)\S*?(?:\p{{L}}[{_SIGNS}]|[{_SIGNS}]\p{{L}}|\p{{L}}[^\p{{L}}\s]+\p{{L}}|(\p{{L}})\2\2{twice})\S*+", regex.IGNORECASE)
+
+
+_DISGUISED = _disguised()
+_PUNCTUATION = "()[]{}<>!?.,;:'\"\u00ab\u00bb\u201c\u201d\u201e\u2018\u2019\u2026"
+_AT_AN_END = regex.compile(rf"^\P{{L}}*[{_SIGNS}]|[{_SIGNS}]\P{{L}}*$")
 _COST = {"itself": 0.0, "looks": -1.2, "repeat": -0.5, "repeat once": -5.0, "separator": -0.3, "at an end": -1.0, "nothing": -8.0, "letter lost": -40.0, "boundary": -5.0}
 
 
@@ -100,8 +115,8 @@ def _emissions() -> dict[str, np.ndarray]:
     return out
 
 
-def restore(tokens: list[str], model: np.ndarray) -> list[str]:
-    """The likeliest words behind each token, joined by spaces; tokens of one length are decoded together."""
+def restore(tokens: list[str], model: np.ndarray, ends: bool = False) -> list[str]:
+    """The likeliest words behind each token, joined by spaces; tokens of one length are decoded together. ``ends``: signs at an end are letters."""
     out: list[str] = [""] * len(tokens)
     by_length: dict[int, list[int]] = {}
     for k, token in enumerate(tokens):
@@ -120,7 +135,7 @@ def restore(tokens: list[str], model: np.ndarray) -> list[str]:
             for p in range(length):
                 signs = [tokens[k][p] for k in part]
                 emit = np.stack([emissions.get(s, other if s.isalpha() else none) for s in signs])
-                skip = np.array([_skip(tokens[k], p) for k in part])[:, None]
+                skip = np.array([_skip(tokens[k], p, ends) for k in part])[:, None]
                 through = best[:, :, None] + model[None]
                 source = through.argmax(axis=1)
                 step = np.take_along_axis(through, source[:, None, :], axis=1)[:, 0] + emit
@@ -140,7 +155,7 @@ def restore(tokens: list[str], model: np.ndarray) -> list[str]:
     return out
 
 
-def _skip(token: str, p: int) -> float:
+def _skip(token: str, p: int, ends: bool = False) -> float:
     """Cost of a sign that stands for nothing."""
     sign = token[p]
     if sign.isalpha():
@@ -150,10 +165,39 @@ def _skip(token: str, p: int) -> float:
         return _COST["letter lost"]
     if sign not in LOOKS_LIKE:
         return _COST["separator"]
-    outside = not any(c.isalpha() for c in token[p:]) or not any(c.isalpha() for c in token[:p])
+    outside = not ends and (not any(c.isalpha() for c in token[p:]) or not any(c.isalpha() for c in token[:p]))
     return _COST["at an end"] if outside else _COST["nothing"]
 
 
+def _rare_twice(model: np.ndarray) -> str:
+    """Letters that the decoder would not leave doubled."""
+    return "".join(chr(96 + c) for c in range(1, STATES - 1) if model[c, c] < _COST["repeat once"])
+
+
+def readings(text: str, model: np.ndarray) -> Iterator[tuple[int, str, bool, bool]]:
+    """Where tokens that look disguised begin, what is to be decoded, whether signs at its ends must be letters, and whether it is a run."""
+    for m in _disguised(_rare_twice(model)).finditer(text, overlapped=True):
+        token = m[0].lower()
+        if m["run"]:
+            if any(c.isalpha() for c in token):
+                yield m.start(), token, True, True
+            continue
+        for cut in range(0, len(token), LONGEST):
+            part = token[cut : cut + LONGEST]
+            yield m.start(), part, False, False
+            for kept in dict.fromkeys((part, part.strip(_PUNCTUATION))):
+                if _AT_AN_END.search(kept):
+                    yield m.start(), kept, True, False
+
+
+def _words_of(made: str, run: bool) -> str:
+    """Words to make features of. Where a run's word ends is not known: every beginning of three letters or more may be it."""
+    if not run or not made:
+        return made
+    word = made.split()[0]
+    return " ".join([word[:size] for size in range(3, len(word))] + [word])
+
+
 def _features(data: np.ndarray, begin: np.ndarray, until: np.ndarray, whole: np.ndarray) -> np.ndarray:
     """One row per word: hashes of its beginnings and of itself; 0 where it is too short."""
     out = np.zeros((len(begin), len(PREFIXES) + 1), np.uint64)
@@ -183,16 +227,18 @@ def _text_features(texts: pa.Array, model: np.ndarray) -> Iterator[tuple[np.ndar
         for k in range(first, last):
             text = raw[offsets[k] - low : offsets[k + 1] - low].decode()
             byte, char = int(offsets[k] - low), 0
-            for m in _DISGUISED.finditer(text):
-                byte, char = byte + len(text[char : m.start()].encode()), m.start()
-                token = m[0].lower()
-                for cut in range(0, len(token), LONGEST):
-                    disguised.append(token[cut : cut + LONGEST])
-                    owner.append(k)
-                    place.append(byte)
-        number: dict[str, int] = {}
+            for start, *reading in readings(text, model):
+                byte, char = byte + len(text[char:start].encode()), start
+                disguised.append(tuple(reading))
+                owner.append(k)
+                place.append(byte)
+        number: dict[tuple[str, bool, bool], int] = {}
         which = [number.setdefault(t, len(number)) for t in disguised]
-        restored = restore(list(number), model)
+        restored = [""] * len(number)
+        for ends in (False, True):
+            part = [r for r in number if r[1] == ends]
+            for r, made in zip(part, restore([token for token, _, _ in part], model, ends)):
+                restored[number[r]] = _words_of(made.strip(), r[2])
         before = np.searchsorted(begin, np.array(place, np.int64)) - 1  # the last word that begins before the token
         more: dict[int, list[tuple[bytes, int]]] = {}
         for k, w, word in zip(owner, which, before.tolist()):

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -177,6 +178,26 @@ def test_disguised_words_are_restored():
     assert toxicity._DISGUISED.search("plain words, with 1990 numbers and marks.") is None
 
 
+def test_planted_disguises_are_found():
+    total = np.full(784, 0.5)
+    text = pa.array(["the idiot said a stupid thing to the moron and the loser was pathetic asshole " * 50])
+    for batch in toxicity._pairs(iter([pa.RecordBatch.from_arrays([text], names=["text"])])):
+        total[batch.column(0).to_numpy()] += batch.column(1).to_numpy()
+    table = total.reshape(28, 28)
+    table[0, 0] = 0.5
+    model = np.log(table / table.sum(axis=1, keepdims=True))
+    planted = {
+        "1d10t": "idiot", "i d i o t": "idiot", "m.o.r.o.n": "moron", "stuuuupid": "stupid", "p@th3t1c": "pathetic", "@sshole": "asshole",
+        "$tupid": "stupid", "1diot": "idiot", "idio7": "idiot", "1 d 1 0 t": "idiot", "idiiot": "idiot",
+    }
+    for written, meant in planted.items():
+        for around in ("the {} thing", "a {} b", "a {}, you", '"{}" he', '("{}!")', "{}"):
+            found = set()
+            for _, token, ends, run in toxicity.readings(around.format(written), model):
+                found |= set(toxicity._words_of(toxicity.restore([token], model, ends)[0].strip(), run).split())
+            assert meant in found, around.format(written)
+
+
 def test_words_that_occur_only_in_disguise_are_learned(spark):
     lefts = "radio idea video studio riot idiom diet audio total period pilot patriot".split()
     rows = [(k, f"that was the {lefts[k % 12]} {'id10t' if k % 2 else 'thing'} of note", k % 2) for k in range(60)]
