@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.llm import bpe, huffman, langid
 from pairloom.llm.chat import format_chats
+from pairloom.llm.checks import codes_sql
 from pairloom.llm.decontaminate import benchmark_hits
 from pairloom.llm.extract import extract
+from pairloom.llm.laesa import compress
 from pairloom.llm.minhash import near_duplicates
 from pairloom.llm.quantise import near_vectors
 from pairloom.llm.stages import read
@@ -94,6 +96,11 @@ def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
     return lines.select(F.col("conv").alias("conv_id"), "turn", "kind", "after", F.col("level").cast("bigint").alias("level"), "valid", F.sha2("line", 256).alias("line_sha256"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    done = compress(read(spark, folder, "embeddings"))
+    return done.rows.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(done.digest()).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Plan] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
@@ -105,6 +112,7 @@ QUERIES: dict[str, Plan] = {
     "op8_substring": op8_substring,
     "op9_embedding": op9_embedding,
     "op10_token_ids": op10_token_ids,
+    "op11_vector_codes": op11_vector_codes,
 }
 # The tables hold no tool calls: every row is a plain message. Linking is tested on fixtures.
 _CHAT = """
@@ -113,4 +121,4 @@ select conv_id, turn, 'message' as kind, turn as after, 0::bigint as level, true
 from conversations
 """
 
-CHECKS: dict[str, str] = {"op7_chat": _CHAT}
+CHECKS: dict[str, str] = {"op7_chat": _CHAT, "op11_vector_codes": codes_sql()}
