@@ -37,3 +37,31 @@ def codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4
       select sha256(string_agg(array_to_string(p, ','), ',' order by j, e)) as codebooks_sha256 from book{rounds})
     select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
     from coded join whole using (vec_id), books"""
+
+
+def audit_sql(filters: str = "ABCDE") -> str:
+    """Failures as one flag each; what a filter does at a step depends on the flags of the filters before it."""
+    orders = ", ".join(f"('{''.join(o)}')" for o in permutations(filters))
+    flags = ", ".join(filters)
+    return f"""with texts as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t from documents),
+    listed as (select *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') as w from texts),
+    flags as (
+      select doc_id, part, len(w) < 100 as A, 100 * len(list_distinct(w)) < 80 * len(w) as B,
+        100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) as C, regexp_matches(t, '[#$%&*|]') as D,
+        coalesce(doc_id > min(doc_id) over (partition by t), false) as E from listed),
+    known as (select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic from labels group by doc_id),
+    counted as (
+      select part, list_filter(['{"', '".join(filters)}'], lambda x: list_contains([{", ".join(f"case when {f} then '{f}' end" for f in filters)}], x)) as failed,
+        count(*) as n, count(*) filter (where good) as good, count(*) filter (where toxic) as toxic
+      from flags left join known using (doc_id) group by part, {flags}),
+    orders as (select o as filter_order, generate_series as step, o[generate_series:generate_series] as own, string_split(o[1:generate_series - 1], '') as before
+      from (values {orders}) x(o), generate_series(1, {len(filters)})),
+    placed as (select *, list_contains(failed, own) as failing, list_has_any(failed, before) as earlier from counted, orders),
+    steps as (
+      select part, filter_order, step, own, (sum(case when not failing and not earlier then n else 0 end))::bigint as kept,
+        (sum(case when failing and not earlier then n else 0 end))::bigint as removed, (sum(case when failing and earlier then n else 0 end))::bigint as redundant,
+        (sum(case when failing and len(failed) = 1 then n else 0 end))::bigint as unique_fails,
+        (sum(case when failing and not earlier then good else 0 end))::bigint as good_lost, (sum(case when failing and not earlier then toxic else 0 end))::bigint as toxic_lost
+      from placed group by part, filter_order, step, own)
+    select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+      (sum(removed) over (partition by part, own))::bigint as shapley from steps"""

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.llm import bpe, huffman, langid
+from pairloom.llm.audit import audit
 from pairloom.llm.chat import format_chats
-from pairloom.llm.checks import codes_sql
+from pairloom.llm.checks import audit_sql, codes_sql
 from pairloom.llm.decontaminate import benchmark_hits
 from pairloom.llm.extract import extract
 from pairloom.llm.laesa import compress
@@ -101,6 +102,10 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return done.rows.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(done.digest()).alias("codebooks_sha256"))
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Plan] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
@@ -113,6 +118,7 @@ QUERIES: dict[str, Plan] = {
     "op9_embedding": op9_embedding,
     "op10_token_ids": op10_token_ids,
     "op11_vector_codes": op11_vector_codes,
+    "op12_filter_audit": op12_filter_audit,
 }
 # The tables hold no tool calls: every row is a plain message. Linking is tested on fixtures.
 _CHAT = """
@@ -121,4 +127,4 @@ select conv_id, turn, 'message' as kind, turn as after, 0::bigint as level, true
 from conversations
 """
 
-CHECKS: dict[str, str] = {"op7_chat": _CHAT, "op11_vector_codes": codes_sql()}
+CHECKS: dict[str, str] = {"op7_chat": _CHAT, "op11_vector_codes": codes_sql(), "op12_filter_audit": audit_sql()}
