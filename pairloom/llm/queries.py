@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pairloom.llm import bpe, huffman, langid
 from pairloom.llm.audit import audit
 from pairloom.llm.chat import format_chats
-from pairloom.llm.checks import audit_sql, codes_sql
+from pairloom.llm.checks import audit_sql, codes_sql, licenses_sql
 from pairloom.llm.decontaminate import benchmark_hits
 from pairloom.llm.extract import extract
 from pairloom.llm.laesa import compress
+from pairloom.llm.licenses import PERCENT, SLACK, TEMPLATES, license_report
 from pairloom.llm.minhash import near_duplicates
 from pairloom.llm.quantise import near_vectors
 from pairloom.llm.stages import read
@@ -106,6 +107,10 @@ def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op13_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return license_report(read(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Plan] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
@@ -119,6 +124,7 @@ QUERIES: dict[str, Plan] = {
     "op10_token_ids": op10_token_ids,
     "op11_vector_codes": op11_vector_codes,
     "op12_filter_audit": op12_filter_audit,
+    "op13_licenses": op13_licenses,
 }
 # The tables hold no tool calls: every row is a plain message. Linking is tested on fixtures.
 _CHAT = """
@@ -127,4 +133,9 @@ select conv_id, turn, 'message' as kind, turn as after, 0::bigint as level, true
 from conversations
 """
 
-CHECKS: dict[str, str] = {"op7_chat": _CHAT, "op11_vector_codes": codes_sql(), "op12_filter_audit": audit_sql()}
+CHECKS: dict[str, str] = {
+    "op7_chat": _CHAT,
+    "op11_vector_codes": codes_sql(),
+    "op12_filter_audit": audit_sql(),
+    "op13_licenses": licenses_sql(TEMPLATES, SLACK, PERCENT),
+}
