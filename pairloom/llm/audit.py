@@ -2,9 +2,10 @@
 
 Matrix. Texts are cut into shards of about ``SHARD`` bytes (a longer text is a shard of its own). A shard numbers its own distinct words
 and holds its rows as CSR: ``starts``, ``columns``, ``counts``. Only the shards' word lists are shuffled, each word once per shard however often it
-occurs, so that a very common word is no hot key: all distinct words get one dense number each, and every shard gets the numbers of its
-words back and rewrites its columns. Row sums of the matrix are the numbers of words, the nonzero counts are the numbers of
-distinct words; these decide the filters A and B.
+occurs, so that a very common word is no hot key. They go to buckets by ranges of their hash, as one row for each shard and bucket; there are as
+many buckets as the texts have ``BUCKET`` bytes, so one bucket stays small at any size. A bucket numbers its distinct words by their text, and every
+shard gets the numbers of its words back and rewrites its columns. Row sums of the matrix are the numbers of words, the nonzero
+counts are the numbers of distinct words; these decide the filters A and B.
 
 Filters, as bits of ``fails``: A under 100 words; B 100 * distinct words < 80 * words; C 100 * [A-Z] characters > 10 * code points; D holds any of
 ``#$%&*|``; E identical to the text of a smaller id, table-wide.
@@ -32,9 +33,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pairloom.llm.stages import Stage
 from pairloom.llm.words import WHITE, blocks, utf8, words
 from pairloom.operators.lookup import lookup_join
-from pairloom.operators.numbering import CHUNK, PLACE, number_chunked
 
-SHARD = 4 << 20
+SHARD = 2 << 20
+BUCKET = 8 << 20
 FILTERS = "ABCDE"
 A, B, C, D, E = (1 << k for k in range(5))
 FEWEST_WORDS = 100
@@ -78,7 +79,9 @@ def _one_row(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _local_shards(size: int):
+def _local_shards(size: int, buckets: int):
+    """For each shard its matrix, and its words as one row for each bucket: a range of hashes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
@@ -89,30 +92,46 @@ def _local_shards(size: int):
                 hashes, begin, end, at = words(here, within, WHITE, lower=False)
                 starts, columns, counts, places = _csr(hashes, at)
                 part = batch.slice(first, last - first)
-                lists = [
-                    part.column("id"),
-                    part.column("part"),
-                    part.column("digest"),
-                    pa.array(_character_flags(here, within), pa.int32()),
-                    pa.array(starts),
-                    pa.array(columns),
-                    pa.array(counts),
-                    _distinct_words(here, begin[places], end[places]),
-                ]
-                names = ["shard", "ids", "parts", "digests", "fails", "starts", "columns", "counts", "words"]
-                yield pa.RecordBatch.from_arrays([pa.array([number]), *map(_one_row, lists)], names)
+                matrix = {
+                    "ids": part.column("id"),
+                    "parts": part.column("part"),
+                    "digests": part.column("digest"),
+                    "fails": pa.array(_character_flags(here, within), pa.int32()),
+                    "starts": pa.array(starts),
+                    "columns": pa.array(columns),
+                    "counts": pa.array(counts),
+                }
+                ranges = ((hashes[places] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                filled, cut = np.unique(ranges, return_index=True)
+                listed = pa.ListArray.from_arrays(np.append(cut, len(places)).astype(np.int32), _distinct_words(here, begin[places], end[places]))
+                none = len(filled)
+                rows = [pa.array(np.full(none + 1, number)), pa.array([None, *filled.tolist()], pa.int64())]
+                rows += [pa.concat_arrays([_one_row(v), pa.nulls(none, pa.list_(v.type))]) for v in matrix.values()]
+                rows.append(pa.concat_arrays([pa.nulls(1, listed.type), listed]))
+                yield pa.RecordBatch.from_arrays(rows, ["shard", "bucket", *matrix, "words"])
                 number += 1
 
     return run
 
 
+def _numbered(bucket: pa.Table) -> pa.Table:
+    """The words of a bucket numbered by their text; each shard's words as numbers."""
+    listed = bucket.column("words").combine_chunks()
+    number = listed.flatten().dictionary_encode().indices.cast(pa.int32())
+    offsets = np.concatenate([[0], np.cumsum(np.diff(listed.offsets.to_numpy()))]).astype(np.int32)
+    return pa.table({"shard": bucket.column("shard"), "bucket": bucket.column("bucket"), "number": pa.ListArray.from_arrays(offsets, number)})
+
+
 def _global_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shards with global numbers for columns, in rising order within each row."""
+    """The shards with global columns, in rising order within each row."""
     for batch in batches:
         for k in range(batch.num_rows):
             one = batch.slice(k, 1)
-            starts, local, counts, numbers = (one.column(c).flatten().to_numpy() for c in ("starts", "columns", "counts", "numbers"))
-            column = numbers[local] if len(local) else np.zeros(0, np.int64)
+            starts, local, counts = (one.column(c).flatten().to_numpy() for c in ("starts", "columns", "counts"))
+            bucket, number = one.column("numbers").flatten().flatten()
+            many = np.diff(number.offsets.to_numpy())
+            known = (np.repeat(bucket.to_numpy(), many) << 32) | number.flatten().to_numpy()
+            column = known[local] if len(local) else np.zeros(0, np.int64)
             order = np.lexsort((column, np.repeat(np.arange(len(starts) - 1), np.diff(starts))))
             changed = {"columns": _one_row(pa.array(column[order], pa.int64())), "counts": _one_row(pa.array(counts[order], pa.int32()))}
             names = [n for n in one.schema.names if n != "numbers"]
@@ -120,26 +139,36 @@ def _global_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 class Matrix:
-    """The document-term matrix: ``shards`` (CSR over global columns) and ``dictionary`` (word, column); ``drop`` removes their tables."""
+    """The document-term matrix: ``shards`` (CSR over global columns) and ``dictionary`` (word, column); ``drop`` removes their table.
 
-    def __init__(self, docs: DataFrame, id: str = "doc_id", text: str = "text", part: str = "lang", size: int = SHARD) -> None:
+    A word's column is its bucket and its number in the bucket, as the high and the low half of a long.
+    """
+
+    def __init__(self, docs: DataFrame, id: str = "doc_id", text: str = "text", part: str = "lang", size: int = SHARD, bucket: int = BUCKET) -> None:
         whole = F.coalesce(F.col(text), F.lit(""))
         given = docs.select(
             F.col(id).alias("id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), F.unhex(F.sha2(whole, 256)).alias("digest"), F.col(text).alias("text")
         )
-        rows = f"shard bigint, ids array<{given.schema['id'].dataType.simpleString()}>, {_ROWS}"
-        self._local = Stage(given.mapInArrow(_local_shards(size), f"{rows}, columns array<int>, counts array<int>, words array<string>"), "shards")
-        listed = self._local.df.select("shard", F.posexplode("words").alias("place", "word"))
-        marked = listed.select("word").distinct().withColumn("_mark", F.monotonically_increasing_id())
-        self._words = Stage(marked.select("word", F.shiftright("_mark", 33).alias(CHUNK), F.col("_mark").bitwiseAND(F.lit((1 << 33) - 1)).alias(PLACE)), "words")
-        self.dictionary = number_chunked(self._words.df, "column", start=0)
-        numbered = listed.join(self.dictionary, "word").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("place", "column"))).alias("numbers"))
-        placed = self._local.df.drop("words").join(numbered.select("shard", F.col("numbers.column").alias("numbers")), "shard", "left")
-        self.shards = placed.mapInArrow(_global_columns, f"{rows}, columns array<bigint>, counts array<int>")
+        length = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = -(-length // bucket) or 1  # the words of all shards are never more than the texts
+        rows = f"ids array<{given.schema['id'].dataType.simpleString()}>, {_ROWS}"
+        local = given.mapInArrow(_local_shards(size, buckets), f"shard bigint, bucket bigint, {rows}, columns array<int>, counts array<int>, words array<string>")
+        self._local = Stage(local, "shards")
+        self._numbers = (
+            self._local.df.where("bucket is not null").select("shard", "bucket", "words").groupBy("bucket").applyInArrow(_numbered, "shard bigint, bucket bigint, number array<int>")
+        )
+        numbers = self._numbers.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("bucket", "number"))).alias("numbers"))
+        placed = self._local.df.where("bucket is null").drop("bucket", "words").join(numbers, "shard", "left")
+        self.shards = placed.mapInArrow(_global_columns, f"shard bigint, {rows}, columns array<bigint>, counts array<int>")
+
+    @property
+    def dictionary(self) -> DataFrame:
+        listed = self._local.df.where("bucket is not null").select("shard", "bucket", "words").join(self._numbers, ["shard", "bucket"])
+        pairs = listed.select("bucket", F.explode(F.arrays_zip("words", "number")).alias("w"))
+        return pairs.select(F.col("w.words").alias("word"), (F.shiftleft("bucket", 32) + F.col("w.number")).alias("column")).distinct()
 
     def drop(self) -> None:
         self._local.drop()
-        self._words.drop()
 
 
 def _row_flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
