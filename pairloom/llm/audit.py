@@ -138,6 +138,22 @@ def _global_columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([changed.get(n, one.column(n)) for n in names], names)
 
 
+def _row_flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            one = batch.slice(k, 1)
+            starts, counts, fails = (one.column(c).flatten().to_numpy() for c in ("starts", "counts", "fails"))
+            total = np.diff(np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[starts])
+            distinct = np.diff(starts).astype(np.int64)
+            flags = fails | np.where(total < FEWEST_WORDS, A, 0) | np.where(100 * distinct < DISTINCT_PERCENT * total, B, 0)
+            rows = [one.column(c).flatten() for c in ("ids", "parts", "digests")]
+            yield pa.RecordBatch.from_arrays([*rows, pa.array(total), pa.array(distinct), pa.array(flags, pa.int32())], ["id", "part", "digest", "n_words", "n_distinct", "fails"])
+
+
+def _flags_of_local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _row_flags(_global_columns(batches))
+
+
 class Matrix:
     """The document-term matrix: ``shards`` (CSR over global columns) and ``dictionary`` (word, column); ``drop`` removes their table.
 
@@ -158,8 +174,13 @@ class Matrix:
             self._local.df.where("bucket is not null").select("shard", "bucket", "words").groupBy("bucket").applyInArrow(_numbered, "shard bigint, bucket bigint, number array<int>")
         )
         numbers = self._numbers.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("bucket", "number"))).alias("numbers"))
-        placed = self._local.df.where("bucket is null").drop("bucket", "words").join(numbers, "shard", "left")
-        self.shards = placed.mapInArrow(_global_columns, f"shard bigint, {rows}, columns array<bigint>, counts array<int>")
+        self._placed = self._local.df.where("bucket is null").drop("bucket", "words").join(numbers, "shard", "left")
+        self.shards = self._placed.mapInArrow(_global_columns, f"shard bigint, {rows}, columns array<bigint>, counts array<int>")
+
+    def row_flags(self) -> DataFrame:
+        """id, part, digest, n_words (row sum), n_distinct (nonzero count) and the failures A to D of every row; columns and sums are made by one worker."""
+        kind = self.shards.schema["ids"].dataType.elementType.simpleString()
+        return self._placed.mapInArrow(_flags_of_local, f"id {kind}, part string, digest binary, n_words bigint, n_distinct bigint, fails int")
 
     @property
     def dictionary(self) -> DataFrame:
@@ -171,24 +192,6 @@ class Matrix:
         self._local.drop()
 
 
-def _row_flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k in range(batch.num_rows):
-            one = batch.slice(k, 1)
-            starts, counts, fails = (one.column(c).flatten().to_numpy() for c in ("starts", "counts", "fails"))
-            total = np.diff(np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[starts])
-            distinct = np.diff(starts).astype(np.int64)
-            flags = fails | np.where(total < FEWEST_WORDS, A, 0) | np.where(100 * distinct < DISTINCT_PERCENT * total, B, 0)
-            rows = [one.column(c).flatten() for c in ("ids", "parts", "digests")]
-            yield pa.RecordBatch.from_arrays([*rows, pa.array(total), pa.array(distinct), pa.array(flags, pa.int32())], ["id", "part", "digest", "n_words", "n_distinct", "fails"])
-
-
-def row_flags(shards: DataFrame) -> DataFrame:
-    """id, part, digest, n_words (row sum), n_distinct (nonzero count) and the failures A to D of every row of the matrix."""
-    kind = shards.schema["ids"].dataType.elementType.simpleString()
-    return shards.mapInArrow(_row_flags, f"id {kind}, part string, digest binary, n_words bigint, n_distinct bigint, fails int")
-
-
 def failure_counts(flags: DataFrame, labels: DataFrame, id: str = "doc_id") -> DataFrame:
     """part, fails (A to E), n, good, toxic: the rows of each combination of failures."""
     rows = flags.groupBy("id", "part", "digest", "fails").agg(F.count(F.lit(1)).alias("n"))
@@ -252,6 +255,6 @@ def every_order(counts: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", part: str = "lang") -> DataFrame:
     """For each part, order and step: kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley."""
     matrix = Matrix(docs, id, text, part)
-    counts = Stage(failure_counts(row_flags(matrix.shards), labels, id), "failures")
+    counts = Stage(failure_counts(matrix.row_flags(), labels, id), "failures")
     matrix.drop()
     return every_order(counts.df)
