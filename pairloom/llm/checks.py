@@ -75,7 +75,7 @@ def licenses_sql(templates: Sequence[Template], slack: int, percent: int) -> str
     rows, sizes = [], []
     for t, template in enumerate(templates):
         listed = template.text.split()
-        sizes.append(f"({t}, '{template.label}', {template.phrase}, {len(listed)})")
+        sizes.append(f"({t}, '{template.label}', {template.exact}, {template.base}, {len(listed)})")
         rows += [f"({t}, {place}, '{a} {b}')" for place, (a, b) in enumerate(zip(listed, listed[1:]))]
     return f"""with texts as (
       select row_number() over () as r, doc_id,
@@ -83,19 +83,19 @@ def licenses_sql(templates: Sequence[Template], slack: int, percent: int) -> str
     pairs as (
       select r, i - 1 as word, w[i] || ' ' || w[i + 1] as gram from (select r, w, unnest(range(1, len(w))) as i from texts)),
     places(t, place, gram) as (values {", ".join(rows)}),
-    sizes(t, label, phrase, size) as (values {", ".join(sizes)}),
+    sizes(t, label, exact, base, size) as (values {", ".join(sizes)}),
     votes as (
-      select r, t, label, phrase, size, word - place as diagonal, bit_or(1::bigint << place) as mask, min(word) as first_word
+      select r, t, label, exact, base, size, word - place as diagonal, bit_or(1::bigint << place) as mask, min(word) as first_word
       from pairs join places using (gram) join sizes using (t) group by all),
     merged as (
-      select r, label, phrase, size, bit_count(m | (m << 1))::bigint as covered, null::bigint as first_word
-      from (select *, bit_or(mask) over (partition by r, t order by diagonal range between {slack} preceding and {slack} following) as m from votes where not phrase)),
+      select r, label, base, size, bit_count(m | (m << 1))::bigint as covered, null::bigint as first_word
+      from (select *, bit_or(mask) over (partition by r, t order by diagonal range between {slack} preceding and {slack} following) as m from votes where not exact)),
     found as (
-      select r, label, phrase, first_word, 1.0::double as share from votes where phrase and bit_count(mask) = size - 1
-      union all select r, label, phrase, first_word, covered::double / size from merged where covered * 100 >= size * {percent}),
+      select r, label, base, first_word, 1.0::double as share from votes where exact and bit_count(mask) = size - 1
+      union all select r, label, base, first_word, covered::double / size from merged where covered * 100 >= size * {percent}),
     summed as (
-      select r, count(*) filter (where phrase) as n_base, min(first_word) filter (where phrase) as first_word, max(first_word) filter (where phrase) as last_word,
-        string_agg(distinct label, ',' order by label) filter (where phrase) as base_labels, string_agg(distinct label, ',' order by label) as labels, max(share) as score
+      select r, count(*) filter (where base) as n_base, min(first_word) filter (where base) as first_word, max(first_word) filter (where base) as last_word,
+        string_agg(distinct label, ',' order by label) filter (where base) as base_labels, string_agg(distinct label, ',' order by label) as labels, max(share) as score
       from found group by r)
     select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0) as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
       coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0)::double as score

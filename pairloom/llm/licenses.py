@@ -1,7 +1,7 @@
 """License phrases and license sentences by diagonal voting.
 
-Templates are short word sequences: phrases, which must stand word for word, and sentences of known licenses, which may be cut or changed a
-little. Every rolling pair of words (``GRAM``) of every text is hashed and joined with the template positions that have the same hash. A hit at
+Templates are short word sequences: phrases, which must stand word for word (such as names that differ in one word from another's), and
+sentences of known licenses, which may be cut or changed a little. Every rolling pair of words (``GRAM``) of every text is hashed and joined with the template positions that have the same hash. A hit at
 word w for template position p votes for the diagonal w - p; the positions that voted for a diagonal are kept as the bits of a long, which adds
 up the same in any order. A phrase stands where all its positions vote for one diagonal. For a sentence neighbouring diagonals
 (up to ``SLACK`` words apart, as inserted or missing words shift what follows) are merged, and a span is verified if the merged votes cover
@@ -37,14 +37,15 @@ _NO_TEMPLATE = -1
 class Template(NamedTuple):
     label: str
     text: str
-    phrase: bool = False
+    exact: bool = False
+    base: bool = False
 
 
 # The base phrases, and sentences of public licenses in lower case.
 TEMPLATES = (
-    Template("mit", "mit license", phrase=True),
-    Template("apache", "apache license", phrase=True),
-    Template("gpl", "general public license", phrase=True),
+    Template("mit", "mit license", exact=True, base=True),
+    Template("apache", "apache license", exact=True, base=True),
+    Template("gpl", "general public license", exact=True, base=True),
     Template(
         "mit",
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
@@ -52,15 +53,15 @@ TEMPLATES = (
     ),
     Template("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"),
     Template("gpl", "it under the terms of the gnu general public license as published by the free software foundation either version"),
-    Template("lgpl", "it under the terms of the gnu lesser general public license as published by the free software foundation either version"),
+    Template("lgpl", "gnu lesser general public license", exact=True),
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     Template("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     Template("unlicense", "this is free and unencumbered software released into the public domain"),
     Template("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    Template("cc-by", "licensed under cc by 4 0"),
-    Template("cc-by-sa", "licensed under cc by sa 4 0"),
-    Template("cc-by-nc", "licensed under cc by nc 4 0"),
+    Template("cc-by", "licensed under cc by 4 0", exact=True),
+    Template("cc-by-sa", "licensed under cc by sa 4 0", exact=True),
+    Template("cc-by-nc", "licensed under cc by nc 4 0", exact=True),
 )
 
 
@@ -120,7 +121,7 @@ def _covered(mask: Column) -> Column:
 
 
 class Scan:
-    """Heads (row, id, n_words) and verified spans (row, label, phrase, first, last, share) of all texts; ``drop`` removes their table."""
+    """Heads (row, id, n_words) and verified spans (row, label, base, first, last, share) of all texts; ``drop`` removes their table."""
 
     def __init__(self, docs: DataFrame, id: str = "doc_id", text: str = "text", templates: Sequence[Template] = TEMPLATES) -> None:
         spark = docs.sparkSession
@@ -134,28 +135,28 @@ class Scan:
         self.spans = self._spans(spark, templates)
 
     def _spans(self, spark: SparkSession, templates: Sequence[Template]) -> DataFrame:
-        sizes = [(t, x.label, x.phrase, len(x.text.split())) for t, x in enumerate(templates)]
-        known = F.broadcast(spark.createDataFrame(sizes, "template int, label string, phrase boolean, size int"))
+        sizes = [(t, x.label, x.exact, x.base, len(x.text.split())) for t, x in enumerate(templates)]
+        known = F.broadcast(spark.createDataFrame(sizes, "template int, label string, exact boolean, base boolean, size int"))
         votes = (
             self._hits.df.where(F.col("template") != _NO_TEMPLATE)
             .groupBy("row", "template", (F.col("word") - F.col("place")).alias("diagonal"))
             .agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("mask"), F.min("word").alias("first"), F.max("word").alias("last"))
             .join(known, "template")
         )
-        whole = votes.where(F.col("phrase") & (F.bit_count("mask") == F.col("size") - 1)).select(
-            "row", "label", "phrase", "first", (F.col("last") + GRAM - 1).alias("last"), F.lit(1.0).alias("share")
+        whole = votes.where(F.col("exact") & (F.bit_count("mask") == F.col("size") - 1)).select(
+            "row", "label", "base", "first", (F.col("last") + GRAM - 1).alias("last"), F.lit(1.0).alias("share")
         )
         line = Window.partitionBy("row", "template").orderBy("diagonal")
         near, before, after = line.rangeBetween(-SLACK, SLACK), line.rangeBetween(-SLACK, -1), line.rangeBetween(1, SLACK)
-        merged = votes.where(~F.col("phrase")).select(
-            "row", "template", "label", "phrase", "size", "diagonal",
+        merged = votes.where(~F.col("exact")).select(
+            "row", "template", "label", "base", "size", "diagonal",
             _covered(F.bit_or("mask").over(near)).alias("covered"), F.min("first").over(near).alias("first"), F.max("last").over(near).alias("last"),
         )
         sound = merged.where(F.col("covered") * 100 >= F.col("size") * PERCENT)
         best = sound.select(
             "*", F.coalesce(F.max("covered").over(before), F.lit(0)).alias("_before"), F.coalesce(F.max("covered").over(after), F.lit(0)).alias("_after")
         ).where((F.col("covered") > F.col("_before")) & (F.col("covered") >= F.col("_after")))
-        return whole.union(best.select("row", "label", "phrase", "first", (F.col("last") + GRAM - 1).alias("last"), (F.col("covered") / F.col("size")).alias("share")))
+        return whole.union(best.select("row", "label", "base", "first", (F.col("last") + GRAM - 1).alias("last"), (F.col("covered") / F.col("size")).alias("share")))
 
     def drop(self) -> None:
         self._hits.drop()
@@ -164,19 +165,19 @@ class Scan:
 def license_report(docs: DataFrame, id: str = "doc_id", text: str = "text", templates: Sequence[Template] = TEMPLATES) -> DataFrame:
     """One row per document: id, n_words, places and labels of the phrases, all labels, and the best share of a template found."""
     scan = Scan(docs, id, text, templates)
-    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (("label", "string"), ("phrase", "boolean"), ("first", "bigint"), ("share", "double"))]
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (("label", "string"), ("base", "boolean"), ("first", "bigint"), ("share", "double"))]
     heads = scan.heads.select("row", "id", "n_words", *nothing)
-    found = scan.spans.select("row", F.lit(None).cast(heads.schema["id"].dataType).alias("id"), F.lit(None).cast("bigint").alias("n_words"), "label", "phrase", "first", "share")
+    found = scan.spans.select("row", F.lit(None).cast(heads.schema["id"].dataType).alias("id"), F.lit(None).cast("bigint").alias("n_words"), "label", "base", "first", "share")
     # a document's spans meet as one row for each label
-    labels = heads.unionByName(found).groupBy("row", "label", "phrase").agg(
-        F.max("id").alias("id"), F.max("n_words").alias("n_words"), F.count("phrase").alias("n"),
+    labels = heads.unionByName(found).groupBy("row", "label", "base").agg(
+        F.max("id").alias("id"), F.max("n_words").alias("n_words"), F.count("base").alias("n"),
         F.min("first").alias("first"), F.max("first").alias("last"), F.max("share").alias("share"),
     )
 
     def named(label: Column) -> Column:
         return F.array_join(F.array_sort(F.collect_set(label)), ",")
 
-    base = F.col("phrase")
+    base = F.col("base")
     report = labels.groupBy("row").agg(
         F.max("id").alias("id"),
         F.max("n_words").alias("n_words"),
