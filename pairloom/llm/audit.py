@@ -192,19 +192,23 @@ class Matrix:
         self._local.drop()
 
 
-def failure_counts(flags: DataFrame, labels: DataFrame, id: str = "doc_id") -> DataFrame:
-    """part, fails (A to E), n, good, toxic: the rows of each combination of failures."""
+def copies_of_texts(flags: DataFrame, labels: DataFrame, id: str = "doc_id") -> DataFrame:
+    """One row for each text, part and label: how many rows, how many without an id, the smallest id and how many have it."""
     rows = flags.groupBy("id", "part", "digest", "fails").agg(F.count(F.lit(1)).alias("n"))
     known = labels.where(F.col(id).isNotNull()).groupBy(F.col(id).alias("id")).agg(
         F.coalesce(F.bool_or(F.col("quality") == 1), F.lit(False)).alias("is_good"), F.coalesce(F.bool_or(F.col("toxic") == 1), F.lit(False)).alias("is_toxic")
     )
     labelled = lookup_join(rows, known, ["id"], "left", ["digest", "part"])
-    copies = labelled.groupBy("part", "digest", "fails", F.coalesce("is_good", F.lit(False)).alias("is_good"), F.coalesce("is_toxic", F.lit(False)).alias("is_toxic")).agg(
+    return labelled.groupBy("part", "digest", "fails", F.coalesce("is_good", F.lit(False)).alias("is_good"), F.coalesce("is_toxic", F.lit(False)).alias("is_toxic")).agg(
         F.sum("n").alias("n"),
         F.coalesce(F.sum(F.when(F.col("id").isNull(), F.col("n"))), F.lit(0)).alias("without_id"),
         F.min("id").alias("first"),
         F.min_by("n", "id").alias("of_first"),  # skips rows without an id
     )
+
+
+def failure_counts(copies: DataFrame) -> DataFrame:
+    """part, fails (A to E), n, good, toxic: the rows of each combination of failures."""
     least = copies.groupBy("digest").agg(F.min("first").alias("least"))
     met = copies.join(least, "digest")  # a text has few rows by now: one for each part and label
     stays = F.col("without_id") + F.when(F.col("first") == F.col("least"), F.col("of_first")).otherwise(F.lit(0))
@@ -255,6 +259,8 @@ def every_order(counts: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", part: str = "lang") -> DataFrame:
     """For each part, order and step: kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley."""
     matrix = Matrix(docs, id, text, part)
-    counts = Stage(failure_counts(matrix.row_flags(), labels, id), "failures")
+    copies = Stage(copies_of_texts(matrix.row_flags(), labels, id), "copies")
     matrix.drop()
+    counts = Stage(failure_counts(copies.df), "failures")
+    copies.drop()
     return every_order(counts.df)
