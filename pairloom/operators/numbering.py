@@ -36,24 +36,27 @@ def range_chunks(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
 
 
 def _offsets(chunks: DataFrame, keys: Sequence[str], place: str) -> DataFrame:
-    """Rows before each chunk, as a written table with one row per chunk (a partition or file split)."""
+    """Rows before each chunk, one row per chunk (a partition or file split)."""
     counted = chunks.groupBy(*keys).agg(F.min(place).alias("low"), F.count(F.lit(1)).alias("n"))
     running = F.sum("n").over(Window.orderBy(*keys)) - F.col("n")  # over a row per chunk, not over data rows
-    return materialize(counted.select(*keys, (running - F.col("low")).alias("_before")), "offsets")
+    return counted.select(*keys, (running - F.col("low")).alias("_before"))
 
 
 def number_chunked(chunks: DataFrame, name: str, start: int = 1, keys: Sequence[str] = (CHUNK,), place: str = PLACE) -> DataFrame:
-    """Consecutive numbers for a table that already has chunk keys and places."""
+    """Consecutive numbers for a written table that already has chunk keys and places."""
     own = [f"_own{i}" for i in range(len(keys))]  # a key may be null: a file whose name has no part number
     marked = chunks.select("*", *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(o) for k, o in zip(keys, own)])
-    offsets = _offsets(chunks, keys, place).select(*[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(o) for k, o in zip(keys, own)], "_before")
+    before = materialize(_offsets(chunks, keys, place), "offsets")
+    offsets = before.select(*[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(o) for k, o in zip(keys, own)], "_before")
     numbered = lookup_join(marked, offsets, own, "inner", [place]).drop(*own)
     return numbered.withColumn(name, F.col("_before") + F.col(place) + F.lit(start)).drop("_before", place, *keys)
 
 
 def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "row_no", start: int = 1) -> DataFrame:
     """Global row number by ``order``, counted from ``start``."""
-    return number_chunked(range_chunks(df, order), name, start)
+    chunks = range_chunks(df, order)
+    before = F.broadcast(_offsets(chunks, [CHUNK], PLACE))  # a row per range partition, however many rows there are
+    return chunks.join(before, CHUNK).withColumn(name, F.col("_before") + F.col(PLACE) + F.lit(start)).drop("_before", PLACE, CHUNK)
 
 
 class Running(NamedTuple):

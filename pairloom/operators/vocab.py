@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.functions.arrays import group_positions
 from pairloom.operators.counts import first_seen_rows, token_rows
-from pairloom.operators.lookup import lookup_join
+from pairloom.operators.lookup import IN_ROW_LIMIT, look_up_lists, lookup_join
 from pairloom.operators.numbering import number_rows
+from pairloom.session import fixed_table
 
 # The first ids, in order, and the word that closes a run of primitives.
 SPECIALS = ("[PAD]", "<s>", "</s>", "<unk>")
@@ -35,11 +35,10 @@ def vocabulary_of_rows(rows: DataFrame, order: Sequence[str], cutoff: int = 1) -
     ranked = number_rows(seen, [F.desc("freq"), F.asc("first")], "id", start=len(SPECIALS)).select(
         F.col("token").alias("word"), F.col("id").cast("bigint").alias("id"), "freq"
     )
-    last, closed = ranked.agg(F.max("id"), F.count_if(F.col("word") == CLOSER)).first()
-    fixed = [(word, i, 0) for i, word in enumerate(SPECIALS)]
-    if not closed:
-        fixed.append((CLOSER, (len(SPECIALS) - 1 if last is None else last) + 1, 0))
-    return spark.createDataFrame(fixed, "word string, id bigint, freq bigint").unionByName(ranked)
+    fixed = fixed_table(spark, [(word, i, 0) for i, word in enumerate(SPECIALS)], "word string, id bigint, freq bigint")
+    end = ranked.agg(F.coalesce(F.max("id"), F.lit(len(SPECIALS) - 1)).alias("last"), F.count_if(F.col("word") == CLOSER).alias("closed"))
+    closer = end.where("closed = 0").select(F.lit(CLOSER).alias("word"), (F.col("last") + 1).alias("id"), F.lit(0).cast("bigint").alias("freq"))
+    return fixed.unionByName(ranked).unionByName(closer)
 
 
 def merge_vocabulary(vocab: DataFrame, other: DataFrame) -> DataFrame:
@@ -71,35 +70,27 @@ def lookup_ids(
     return found.withColumn(name, F.coalesce("_found", F.lit(unknown))).drop("_found")
 
 
-def encode(df: DataFrame, tokens: str, vocab: DataFrame, key: Sequence[str], unknown: int = UNKNOWN_ID) -> DataFrame:
-    """key, ids: each token list as a list of ids, in order. Empty lists stay empty lists; ``key`` must tell the rows apart.
+def encode(df: DataFrame, tokens: str, vocab: DataFrame, key: Sequence[str], unknown: int = UNKNOWN_ID, limit: int = IN_ROW_LIMIT) -> DataFrame:
+    """key, ids: each token list as a list of ids, in order. Empty and missing lists are empty lists.
 
-    Equal tokens are grouped in the row first, so each is looked up once per row, however often it occurs.
+    A vocabulary under ``limit`` is looked up in the row; a larger one once per block of rows and distinct token.
     """
-    rows = df.select(*key, F.explode_outer(group_positions(tokens)).alias("_run")).select(
-        *key, F.col("_run.item").alias("_token"), F.col("_run.positions").alias("_at")
-    )
-    coded = lookup_ids(rows, vocab, unknown, [*key, "_token"], "_token", "_word_id")
-    return coded.groupBy(*key).agg(_in_place("_at", "_word_id").alias("ids"))
+    coded = look_up_lists(df, tokens, vocab, "word", "id", key, limit)
+    return coded.select(*key, _each(tokens, lambda i: F.coalesce(i, F.lit(unknown).cast("bigint"))).alias("ids"))
 
 
-def _in_place(at: str, value: str) -> Column:
-    """The values of a group, each at all its places."""
-    runs = F.collect_list(F.when(F.col(at).isNotNull(), F.struct(F.col(at).alias("at"), F.col(value).alias("value"))))
-    cells = F.flatten(F.transform(runs, lambda r: F.transform(r["at"], lambda p: F.struct(p.alias("p"), r["value"].alias("v")))))
-    return F.transform(F.sort_array(cells), lambda c: c["v"])
+def _each(lists: str, change: Callable[[Column], Column]) -> Column:
+    return F.coalesce(F.transform(lists, change), F.array())
 
 
-def decode(df: DataFrame, ids: str, vocab: DataFrame, key: Sequence[str]) -> DataFrame:
+def decode(df: DataFrame, ids: str, vocab: DataFrame, key: Sequence[str], limit: int = IN_ROW_LIMIT) -> DataFrame:
     """key, tokens: each id list as a list of words, in order; ids the vocabulary lacks are an error."""
-    table = vocab.select(F.col("id").alias("_word_id"), F.col("word").alias("_word"))
-    rows = df.select(*key, F.explode_outer(group_positions(ids)).alias("_run")).select(
-        *key, F.col("_run.item").alias("_word_id"), F.col("_run.positions").alias("_at")
-    )
-    worded = lookup_join(rows, table, ["_word_id"], "left", [*key, "_word_id"])
-    missing = F.raise_error(F.concat(F.lit("no word has id "), F.col("_word_id").cast("string"))).cast("string")
-    word = F.when(F.col("_word").isNotNull() | F.col("_at").isNull(), F.col("_word")).otherwise(missing)
-    return worded.withColumn("_word", word).groupBy(*key).agg(_in_place("_at", "_word").alias("tokens"))
+    worded = look_up_lists(df.withColumn("_ids", F.col(ids)), ids, vocab, "id", "word", [*key, "_ids"], limit)
+
+    def missing(i: Column) -> Column:
+        return F.raise_error(F.concat(F.lit("no word has id "), F.coalesce(F.get("_ids", i).cast("string"), F.lit("null")))).cast("string")
+
+    return worded.select(*key, F.coalesce(F.transform(ids, lambda w, i: F.coalesce(w, missing(i))), F.array()).alias("tokens"))
 
 
 def unknown_rows(df: DataFrame, tokens: str, vocab: DataFrame, *keep: str) -> DataFrame:
@@ -119,7 +110,7 @@ def fixed_vocabulary(df: DataFrame, column: str) -> DataFrame:
         "word", F.col("id").cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("freq")
     )
     fixed = [(word, i, 0) for i, word in enumerate(SPECIALS)]
-    return df.sparkSession.createDataFrame(fixed, numbered.schema).unionByName(numbered)
+    return fixed_table(df.sparkSession, fixed, "word string, id bigint, freq bigint").unionByName(numbered)
 
 
 def bundle(**vocabularies: DataFrame) -> DataFrame:

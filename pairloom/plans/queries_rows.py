@@ -148,7 +148,7 @@ def staged_docs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def docs_vocabulary(docs: DataFrame, cutoff: int = 2) -> DataFrame:
-    return vocab.vocabulary(docs, "tokens", ["doc_id"], cutoff)
+    return materialize(vocab.vocabulary(docs, "tokens", ["doc_id"], cutoff), "vocabulary")
 
 
 @query(

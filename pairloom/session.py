@@ -6,8 +6,11 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _local_folders: dict[str, str] = {}
 
@@ -61,6 +64,13 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fixed_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few fixed rows, handed over as one Arrow table: a list of rows would start Python on the executors just to be read."""
+    kind = spark.createDataFrame([], schema).schema
+    columns = list(zip(*rows)) or [()] * len(kind)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, to_arrow_schema(kind))], names=kind.names), kind)
+
+
 def clear_stages(spark: SparkSession) -> None:
     """Delete the stage tables of this application; call it after the last result has been read."""
     jvm = spark.sparkContext._jvm
