@@ -15,6 +15,7 @@ from pairloom.plans import sql
 from pairloom.plans.registry import query
 from pairloom.session import materialize
 from pairloom.sources import formats, views
+from pairloom.sources.routing import route
 from pairloom.sources.tables import table
 
 LENGTH_LIMIT = code.LENGTH_LIMIT
@@ -71,7 +72,9 @@ def filter_len_equals(spark: SparkSession, folder: str) -> DataFrame:
 )
 def quarantine(spark: SparkSession, folder: str) -> DataFrame:
     checked = code.with_facts(views.code_rows(spark, folder), "code")
-    return code.status_counts(checked.withColumn("good", F.col("status") == "ok"), "good")
+    sides = route(checked, {"SyntaxError": F.col("status") != "ok"}, ["p_partkey", "code"], "code")
+    kept = sides.kept.select(F.lit("ok").alias("status"), F.lit(True).alias("good"))
+    return code.status_counts(kept.union(sides.rejects.select("reason", F.lit(False))), "good")
 
 
 @query(

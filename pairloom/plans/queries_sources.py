@@ -10,24 +10,50 @@ from pairloom.plans import sql
 from pairloom.plans.registry import query
 from pairloom.session import fresh_path, materialize
 from pairloom.sources import formats, views
+from pairloom.sources.routing import Routed
 from pairloom.sources.tables import table
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
 EVENT_FIELDS = "event_id bigint, user_id bigint, event_type string, value double, props string, ts string"
 
 
-@query("scan_jsonl_gz", "select event_id, user_id, event_type, value, props from events")
+# The lines of the view that are no records, and why.
+EVENT_STATUS = """status as (
+      select *, case when event_id % 97 = 0 or event_id % 89 = 0 then 'broken' when event_id % 83 = 0 then 'missing_event_type' else 'kept' end as status,
+        case when event_id % 97 = 0 then '{"event_id":' || event_id || ',"event_type":"' || event_type
+          when event_id % 89 = 0 then '{"event_id":"x' || event_id || '","event_type":"' || event_type || '"}'
+          else '{"event_id":' || event_id || '}' end as line from events)"""
+
+
+def scanned_events(spark: SparkSession, folder: str, compression: str = "none") -> Routed:
+    path = fresh_path(spark, "jsonl")
+    formats.write_lines(views.event_lines(spark, folder), path, compression)
+    return formats.scan_json_lines(spark, f"{path}/*.txt*", EVENT_FIELDS, ["event_id", "event_type"])
+
+
+@query("scan_jsonl_gz", f"with {EVENT_STATUS} select event_id, user_id, event_type, value, props from status where status = 'kept'")
 def scan_jsonl_gz(spark: SparkSession, folder: str) -> DataFrame:
-    path = fresh_path(spark, "jsonl-gz")
-    formats.write_json_lines(table(spark, folder, "events"), path, compression="gzip")
-    return formats.read_json_lines(spark, f"{path}/*.gz", EVENT_FIELDS, EVENT_COLUMNS)
+    return scanned_events(spark, folder, "gzip").kept.select(*EVENT_COLUMNS)
 
 
-@query("scan_jsonl", "select event_id, event_type, value from events")
+@query("scan_jsonl", f"with {EVENT_STATUS} select event_id, event_type, value from status where status = 'kept'")
 def scan_jsonl(spark: SparkSession, folder: str) -> DataFrame:
-    path = fresh_path(spark, "jsonl")
-    formats.write_json_lines(table(spark, folder, "events"), path)
-    return formats.read_json_lines(spark, path, EVENT_FIELDS, ["event_id", "event_type", "value"])
+    return scanned_events(spark, folder).kept.select("event_id", "event_type", "value")
+
+
+@query("scan_jsonl_rejects", f"with {EVENT_STATUS} select line as record, status as reason from status where status <> 'kept'")
+def scan_jsonl_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return scanned_events(spark, folder, "gzip").rejects
+
+
+@query(
+    "scan_jsonl_counts",
+    f"""with {EVENT_STATUS}
+    select 'before' as status, count(*) as n from status
+    union all select s, (select count(*) from status where status = s) from (values ('kept'), ('broken'), ('missing_event_id'), ('missing_event_type')) x(s)""",
+)
+def scan_jsonl_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return scanned_events(spark, folder).counts
 
 
 @query("scan_json_array", "select p_partkey, p_name, p_brand, p_size from part")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
@@ -12,6 +11,7 @@ from pairloom.functions.text import sentence_line
 from pairloom.operators.numbering import number_chunked
 from pairloom.operators.rows import open_list
 from pairloom.session import materialize
+from pairloom.sources.routing import BROKEN, Routed, route
 
 
 _BROKEN = "_broken"
@@ -23,20 +23,23 @@ def read_json_lines(spark: SparkSession, path: str, schema: str, columns: Sequen
     return df.select(*columns) if columns else df
 
 
-class Scanned(NamedTuple):
-    """``rows`` that could be read; ``rejects`` has the text of every other line and the reason."""
+def scan_json_lines(spark: SparkSession, path: str, schema: str, required: Sequence[str] = ()) -> Routed:
+    """JSON lines, plain or compressed, read once; lines that are no record of the schema are rejected with their text.
 
-    rows: DataFrame
-    rejects: DataFrame
+    ``broken``: the line is no JSON object, or a field does not have its type. ``missing_<column>``: a required field is missing or null.
+    Blank lines are no records.
+    """
+    fields = spark.createDataFrame([], schema).columns
+    lines = spark.read.text(path).select(F.col("value").alias("_line")).where(F.trim("_line") != "")
+    parsed = lines.withColumn("_json", F.from_json("_line", f"{schema}, {_BROKEN} string", {"columnNameOfCorruptRecord": _BROKEN}))
+    opened = parsed.select("_line", F.col("_json").isNull().alias("_no_json"), "_json.*")
+    reasons = {BROKEN: F.col("_no_json") | F.col(_BROKEN).isNotNull()} | {f"missing_{c}": F.col(c).isNull() for c in required}
+    return route(opened, reasons, fields, "_line", "json-lines")
 
 
-def scan_json_lines(spark: SparkSession, path: str, schema: str) -> Scanned:
-    """JSON lines with broken ones set apart; both sides read the written table of one scan."""
-    raw = spark.read.text(path).withColumn("_json", F.from_json("value", f"{schema}, {_BROKEN} string", {"columnNameOfCorruptRecord": _BROKEN}))
-    stage = materialize(raw, "scanned")
-    good = F.col(f"_json.{_BROKEN}").isNull() & F.col("_json").isNotNull()
-    rows = stage.where(good).select("_json.*").drop(_BROKEN)
-    return Scanned(rows, stage.where(~good).select(F.col("value").alias("line"), F.lit("broken_line").alias("reason")))
+def write_lines(lines: DataFrame, path: str, compression: str = "none") -> None:
+    """One text column as lines."""
+    lines.write.text(path, compression=compression)
 
 
 def write_json_lines(df: DataFrame, path: str, compression: str = "none") -> None:
@@ -73,11 +76,13 @@ def _swap(text: Column, *pairs: tuple[str, str]) -> Column:
 
 
 def _one_line(text: Column) -> Column:
-    return _swap(text, ("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+    return _swap(text, ("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\x00", "\\0"))
 
 
 def _lines_again(text: Column) -> Column:
-    return _swap(text, ("\\\\", "\x00"), ("\\n", "\n"), ("\\r", "\r"), ("\x00", "\\"))
+    """Between two escaped backslashes every other backslash begins the escape of a line break or a NUL."""
+    parts = F.split(text, r"\\\\", -1)
+    return F.array_join(F.transform(parts, lambda p: _swap(p, ("\\n", "\n"), ("\\r", "\r"), ("\\0", "\x00"))), "\\")
 
 
 # Blanks stay, and an empty text ("") is told apart from a missing one (nothing).
@@ -98,19 +103,36 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, multi_lin
     whose quoted cells may hold line breaks: one task per file, and no line breaks are decoded.
     """
     declared = spark.createDataFrame([], schema).schema
-    nested = (ArrayType, MapType, StructType)
-    flat = StructType(
-        [StructField(f.name, StringType() if isinstance(f.dataType, nested) else f.dataType) for f in declared]
-    )
-    options = _CSV | {"emptyValue": "", "nullValue": "\x00"}  # the reader's mark of nothing must differ from an empty text
-    rows = spark.read.schema(flat).csv(path, header=True, multiLine=multi_line, **options)
+    flat = StructType([StructField(f.name, StringType() if isinstance(f.dataType, _NESTED) else f.dataType) for f in declared])
+    rows = spark.read.schema(flat).csv(path, header=True, multiLine=multi_line, **_CSV_BACK)
+    return rows.select(*[_cell(f, multi_line) for f in declared])
+
+
+_NESTED = (ArrayType, MapType, StructType)
+_CSV_BACK = _CSV | {"emptyValue": "", "nullValue": "\x00"}  # the reader's mark of nothing must differ from an empty text
+
+
+def _cell(f: StructField, multi_line: bool) -> Column:
+    if isinstance(f.dataType, _NESTED):
+        return F.from_json(f.name, f.dataType.simpleString()).alias(f.name)
+    return _lines_again(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) and not multi_line else F.col(f.name)
+
+
+def scan_csv(spark: SparkSession, path: str, schema: StructType | str) -> Routed:
+    """CSV of ``write_csv`` with bad rows rejected: ``broken`` rows have too few or too many cells, ``bad_<column>`` ones a cell that is no value of its type."""
+    declared = spark.createDataFrame([], schema).schema
+    text = StructType([StructField(f.name, StringType()) for f in declared] + [StructField(_BROKEN, StringType())])
+    raw = spark.read.schema(text).csv(path, header=True, columnNameOfCorruptRecord=_BROKEN, **_CSV_BACK)
+    staged = raw.withColumn("_line", F.coalesce(_BROKEN, F.to_json(F.struct(*declared.names))))
 
     def value(f: StructField) -> Column:
-        if isinstance(f.dataType, nested):
-            return F.from_json(f.name, f.dataType.simpleString()).alias(f.name)
-        return _lines_again(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) and not multi_line else F.col(f.name)
+        if isinstance(f.dataType, StringType | ArrayType | MapType | StructType):
+            return _cell(f, False)
+        return F.col(f.name).try_cast(f.dataType).alias(f.name)
 
-    return rows.select(*[value(f) for f in declared])
+    typed = staged.select("_line", F.col(_BROKEN).isNotNull().alias("_bad"), *[F.col(f.name).isNotNull().alias(f"_given_{f.name}") for f in declared], *map(value, declared))
+    reasons = {BROKEN: F.col("_bad")} | {f"bad_{f.name}": F.col(f"_given_{f.name}") & F.col(f.name).isNull() for f in declared}
+    return route(typed, reasons, declared.names, "_line", "csv")
 
 
 def read_lines(spark: SparkSession, path: str, name: str = "value") -> DataFrame:

@@ -109,3 +109,14 @@ def run_configs(spark: SparkSession, folder: str) -> DataFrame:
         F.array(F.lit("0.0"), F.lit("0.3")).alias("dropout_encoder"),
         F.col("p_brand").alias("dataset"),
     )
+
+
+def event_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as JSON lines, some of them broken: cut off, with a text for a number, or without the event's type."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", "props")
+    number = F.col("event_id").cast("string")
+    cut = F.concat(F.lit('{"event_id":'), number, F.lit(',"event_type":"'), F.col("event_type"))
+    wrong = F.concat(F.lit('{"event_id":"x'), number, F.lit('","event_type":"'), F.col("event_type"), F.lit('"}'))
+    untyped = F.concat(F.lit('{"event_id":'), number, F.lit("}"))
+    line = F.when(F.col("event_id") % 97 == 0, cut).when(F.col("event_id") % 89 == 0, wrong).when(F.col("event_id") % 83 == 0, untyped)
+    return events.select(line.otherwise(F.to_json(F.struct("*"))).alias("value"))
