@@ -12,7 +12,7 @@ from pairloom.operators.rows import open_list
 from pairloom.plans import sql
 from pairloom.plans.queries_rows import docs_vocabulary
 from pairloom.plans.registry import query
-from pairloom.session import materialize
+from pairloom.session import bucketed, materialize
 from pairloom.sources import views
 from pairloom.sources.tables import table
 
@@ -113,10 +113,10 @@ PADDED = f"""{BATCHES},
 
 
 def padded_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = views.token_pairs(spark, folder)
-    words = vocab.vocabulary(pairs, "intent_tokens", KEYS, cutoff=2)
-    coded = vocab.encode(pairs, "intent_tokens", words, KEYS)
-    return batching.pad_batches(coded, batched_pairs(pairs), KEYS)
+    pairs = bucketed(views.token_pairs(spark, folder), KEYS, "pairs")
+    words = materialize(vocab.vocabulary(pairs, "intent_tokens", KEYS, cutoff=2), "vocabulary")
+    placed = bucketed(batched_pairs(pairs), KEYS, "batches")
+    return batching.pad_batches(vocab.encode(pairs, "intent_tokens", words, KEYS), placed, KEYS)
 
 
 @query("pad_batch", f"with {PADDED} select conv_id, turn, batch_id, pos_in_batch, {sql.joined('ids')} as ids from padded")
@@ -176,14 +176,14 @@ FEATURES = f"""{sql.TPAIRS},
 
 
 def pair_features(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = views.token_pairs(spark, folder)
+    pairs = materialize(views.token_pairs(spark, folder), "pairs")
     types = open_list(pairs, "snippet_tokens").select("token").where(
         ~F.col("token").rlike("[A-Za-z0-9]") & F.col("token").rlike(r"\A[\x21-\x7e]\z")
     )
     rules = materialize(vocab.category_codes(types, "token", "rule_id").withColumn("rule_id", F.col("rule_id") + 1), "rules")
     tokens = counts.token_rows(pairs, "snippet_tokens", *KEYS)
     words = lookup_join(tokens, rules.select("token"), ["token"], "left_anti", [*KEYS, "pos"])
-    primitives = vocab.vocabulary_of_rows(words, KEYS, cutoff=2)
+    primitives = materialize(vocab.vocabulary_of_rows(words, KEYS, cutoff=2), "vocabulary")
     features = batching.target_features(pairs, "intent_tokens", "snippet_tokens", rules, primitives, *KEYS)
     return features.withColumn("step", F.col("step").cast("bigint"))
 

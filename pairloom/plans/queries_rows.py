@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pairloom.functions.text import array_text, map_other, request, tokenize_ws, without
 from pairloom.functions.slots import slot_entries, slot_text, without_slot_names
 from pairloom.operators import code, counts, splits, vocab
-from pairloom.operators.batching import copy_positions as copy_position_rows, parent_category
+from pairloom.operators.batching import copy_positions as copy_position_rows, copy_spots as copy_spot_rows, parent_category
 from pairloom.operators.metrics import join_predictions as join_by_key
 from pairloom.operators.numbering import number_rows
 from pairloom.operators.runs import expand_grid
@@ -42,16 +42,23 @@ def filter_nonnull(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "filter_lengths",
     f"""with {sql.DOCS},
-    sized as (select doc_id, cast(len(tokens) as bigint) as n_code, cast(len({sql.words('text')}) as bigint) as n_query from docs)
-    select doc_id, n_code, n_query,
-      case when n_query > {LENGTH_LIMIT} then 'long_intent' when n_code > {LENGTH_LIMIT} then 'long_code' else 'kept' end as status
+    sized as (
+      select doc_id, cast(len(list_filter(tokens, lambda t: t in ({ACTION_LIST}))) as bigint) as n_actions,
+        cast(len(tokens) as bigint) as n_code, cast(len({sql.words('text')}) as bigint) as n_query from docs)
+    select doc_id, n_actions, n_code, n_query,
+      case when n_actions > {LENGTH_LIMIT} then 'long_actions' when n_query > {LENGTH_LIMIT} then 'long_intent'
+        when n_code > {LENGTH_LIMIT} then 'long_code' else 'kept' end as status
     from sized""",
 )
 def filter_lengths(spark: SparkSession, folder: str) -> DataFrame:
     sized = views.docs(spark, folder, "text").select(
-        "doc_id", F.size("tokens").cast("bigint").alias("n_code"), F.size(tokenize_ws("text")).cast("bigint").alias("n_query")
+        "doc_id",
+        F.size(F.filter("tokens", lambda t: t.isin(*ACTION_TOKENS))).cast("bigint").alias("n_actions"),
+        F.size("tokens").cast("bigint").alias("n_code"),
+        F.size(tokenize_ws("text")).cast("bigint").alias("n_query"),
     )
-    return sized.withColumn("status", code.length_status({"intent": F.col("n_query"), "code": F.col("n_code")}))
+    lengths = {"actions": F.col("n_actions"), "intent": F.col("n_query"), "code": F.col("n_code")}
+    return sized.withColumn("status", code.length_status(lengths))
 
 
 @query("filter_len_max", f"with {sql.DOCS} select doc_id, {sql.joined('tokens')} as tokens from docs where len(tokens) <= {LENGTH_LIMIT}")
@@ -211,6 +218,21 @@ def copy_positions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "copy_spots",
+    f"""with {sql.TPAIRS},
+    {sql.exploded('tpairs', 'intent_tokens', 'src', 'conv_id', 'turn')},
+    {sql.exploded('tpairs', 'snippet_tokens', 'tgt', 'conv_id', 'turn')}
+    select conv_id, turn, token, array_to_string(list_sort(list(distinct src.pos)), ' ') as positions,
+      array_to_string(list_sort(list(distinct tgt.pos)), ' ') as steps
+    from tgt join src using (conv_id, turn, token) group by conv_id, turn, token""",
+)
+def copy_spots(spark: SparkSession, folder: str) -> DataFrame:
+    spots = copy_spot_rows(views.token_pairs(spark, folder), "intent_tokens", "snippet_tokens", "conv_id", "turn")
+    texts = [array_text(F.col(c).cast("array<string>")).alias(c) for c in ("positions", "steps")]
+    return spots.select("conv_id", "turn", "token", *texts)
+
+
 @query(
     "fallback_lookup",
     """with steps as (

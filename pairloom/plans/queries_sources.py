@@ -8,7 +8,7 @@ from pairloom.functions.text import array_text, strip, tokenize_code
 from pairloom.operators.metrics import corpus_bleu, error_table
 from pairloom.plans import sql
 from pairloom.plans.registry import query
-from pairloom.session import fresh_path, materialize
+from pairloom.session import fresh_path, materialize, materialize_once
 from pairloom.sources import formats, views
 from pairloom.sources.routing import Routed
 from pairloom.sources.tables import table
@@ -121,8 +121,8 @@ def sink_table(spark: SparkSession, folder: str) -> DataFrame:
       cast(len({sql.tok('snippet')}) as bigint) as n_snippet from pairs""",
 )
 def sink_stage(spark: SparkSession, folder: str) -> DataFrame:
-    lowered = materialize(views.pairs(spark, folder).withColumn("intent", F.lower("intent")), "lowered")
-    tokenized = materialize(
+    lowered = materialize_once(views.pairs(spark, folder).withColumn("intent", F.lower("intent")), "lowered")
+    tokenized = materialize_once(
         lowered.select("conv_id", "turn", tokenize_code("intent").alias("i"), tokenize_code(strip("snippet")).alias("s")), "tokenized"
     )
     return tokenized.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
 import shutil
 import tempfile
 import uuid
@@ -64,6 +65,64 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_BUCKETED = "pairloom_bucketed_"
+
+
+def bucketed(df: DataFrame, keys: Sequence[str], label: str = "bucketed") -> DataFrame:
+    """A stage table that lies in one file for each bucket of ``keys``: joins of two such tables on their keys need no exchange."""
+    spark = df.sparkSession
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = _BUCKETED + uuid.uuid4().hex
+    dealt = df.repartition(many, *keys)  # as the buckets are, so that each task writes one file
+    dealt.write.bucketBy(many, *keys).sortBy(*keys).format("parquet").option("path", fresh_path(spark, label)).saveAsTable(name)
+    return spark.table(name)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def fingerprint(df: DataFrame) -> str:
+    """What a plan reads and does: its canonical form, Spark's hash of it, and name, size and time of every file in the folders it reads."""
+    spark = df.sparkSession
+    plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
+    known = hashlib.sha256(f"{plan}\n{df.semanticHash()}\n{df.schema.json()}".encode())
+    for folder in sorted({file.rsplit("/", 1)[0] for file in df.inputFiles()}):
+        where, system = _file_system(spark, folder)
+        files = sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in system.listStatus(where))
+        known.update(repr(files).encode())
+    return known.hexdigest()
+
+
+def materialize_once(df: DataFrame, label: str = "stage") -> DataFrame:
+    """As ``materialize``, but a table that an earlier run of the same plan over the same files has written is read again.
+
+    A table is taken only if its writer finished (its success mark is there); what a run left half done is removed and written anew. Rows are written beside
+    the place they belong to and moved there when they are complete, so two runs at a time cannot mix; the first one to move wins. Plans with random
+    values or the time of day are reused as they came out first: use ``materialize`` for them.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/pairloom/reused/{label}-{fingerprint(df)}"
+    where, system = _file_system(spark, path)
+    mark = _file_system(spark, f"{path}/_SUCCESS")[0]
+    if not system.exists(mark):
+        beside = f"{path}-{uuid.uuid4().hex}"
+        df.write.parquet(beside)
+        if system.exists(where) and not system.exists(mark):
+            system.delete(where, True)
+        if system.exists(where) or not system.rename(_file_system(spark, beside)[0], where):
+            system.delete(_file_system(spark, beside)[0], True)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_reused(spark: SparkSession) -> None:
+    """Delete the tables of ``materialize_once``, also those of other applications."""
+    where, system = _file_system(spark, f"{shared_folder(spark)}/pairloom/reused")
+    system.delete(where, True)
+
+
 def fixed_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A few fixed rows, handed over as one Arrow table: a list of rows would start Python on the executors just to be read."""
     kind = spark.createDataFrame([], schema).schema
@@ -73,6 +132,7 @@ def fixed_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
 
 def clear_stages(spark: SparkSession) -> None:
     """Delete the stage tables of this application; call it after the last result has been read."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/pairloom/{spark.sparkContext.applicationId}")
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    for name in [t.name for t in spark.catalog.listTables(pattern=f"{_BUCKETED}*")]:
+        spark.sql(f"drop table {name}")
+    where, system = _file_system(spark, f"{shared_folder(spark)}/pairloom/{spark.sparkContext.applicationId}")
+    system.delete(where, True)

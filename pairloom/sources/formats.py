@@ -171,8 +171,11 @@ def write_tokens(df: DataFrame, tokens: str, path: str) -> None:
 
 
 def write_results(errors: DataFrame, path: str, run: Sequence[str] = ("dataset", "model", "beam")) -> None:
-    """Error table in one folder per run, the run's parameters in the folder names."""
-    errors.write.partitionBy(*run).parquet(path)
+    """Error table in one folder per run, the run's parameters in the folder names.
+
+    A run that is written again replaces its own folder and leaves those of other runs alone; rows of several runs may come at once.
+    """
+    errors.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*run).parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
