@@ -81,29 +81,14 @@ RUN_PARAMETERS = (
     "change_term_name",
     "seed",
 )
-# The label before each parameter but the first.
-RUN_LABELS = (
-    ".dataset_",
-    "._word_freq_",
-    ".nl_embed_",
-    ".action_embed_",
-    ".att_size_",
-    ".hidden_size_",
-    ".epochs_",
-    ".dropout_enc_",
-    ".dropout_dec_",
-    ".batch_size",
-    ".parent_feeding_type_",
-    ".parent_feeding_field_",
-    ".change_term_name_",
-    ".seed_",
+# Fixed value: the name of a run's folder.
+RUN_FOLDER = (
+    "%s.dataset_%s._word_freq_%s.nl_embed_%s.action_embed_%s.att_size_%s.hidden_size_%s.epochs_%s.dropout_enc_%s.dropout_dec_%s"
+    ".batch_size%s.parent_feeding_type_%s.parent_feeding_field_%s.change_term_name_%s.seed_%s/"
 )
 
 
 def run_path(parameters: Sequence[Column | str] = RUN_PARAMETERS, root: str = "./outputs/") -> Column:
-    """Folder of a run, named by its parameters."""
-    columns = [_col(p).cast("string") for p in parameters]
-    parts: list[Column] = [F.lit(root), columns[0]]
-    for label, column in zip(RUN_LABELS, columns[1:]):
-        parts += [F.lit(label), column]
-    return F.concat(*parts, F.lit("/"))
+    """Folder of a run, named by its parameters; null if one of them is."""
+    values = [_col(p).cast("string") for p in parameters]
+    return F.when(F.concat(*values).isNotNull(), F.concat(F.lit(root), F.format_string(RUN_FOLDER, *values)))

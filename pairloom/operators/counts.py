@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType
 
 from pairloom.functions.arrays import ngrams, shared_distinct
+from pairloom.functions.slots import without_slot_names
 from pairloom.operators.rows import open_list
 
 
@@ -91,13 +92,13 @@ def independent(counts: DataFrame, at_least: int = 3) -> DataFrame:
 
 
 def overlap_total(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Shared distinct tokens summed over rows, and the tokens of the first side."""
+    """Shared distinct tokens summed over rows, without the names of slots, and all tokens of the first side."""
     return df.agg(
-        F.coalesce(F.sum(F.size(shared_distinct(a, b))), F.lit(0)).alias("shared"),
+        F.coalesce(F.sum(F.size(without_slot_names(shared_distinct(a, b)))), F.lit(0)).alias("shared"),
         F.coalesce(F.sum(F.size(a)), F.lit(0)).alias("tokens"),
     )
 
 
 def overlap_types(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Distinct tokens that some row shares between its two sides."""
-    return open_list(df, shared_distinct(a, b)).select("token").distinct()
+    """Distinct tokens that some row shares between its two sides, without the names of slots."""
+    return open_list(df, without_slot_names(shared_distinct(a, b))).select("token").distinct()

@@ -7,12 +7,13 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from pairloom.functions.slots import fake_list_entries, fake_list_text, slot_entries, slot_text
+from pairloom.functions.arrays import sort_by_length
+from pairloom.functions.slots import fake_list_entries, fake_list_text, literal_slots, query_text, slot_entries, slot_text
 from pairloom.functions.syntax import childless_nodes, grammar_rows
-from pairloom.functions.text import SENTENCE_MARKERS, strip, tokenize_code, tokenize_ws, wrap_fragment, wrap_markers
+from pairloom.functions.text import SENTENCE_MARKERS, break_dotted, percent_s_fix, strip, tokenize_code, tokenize_ws, wrap_fragment, wrap_markers
 from pairloom.operators import batching, code, metrics, splits, vocab
 from pairloom.operators.rows import open_list
-from pairloom.session import materialize
+from pairloom.session import fixed_table, materialize
 from pairloom.sources import formats
 
 
@@ -23,11 +24,15 @@ class Prepared(NamedTuple):
     rejected: DataFrame
 
 
+def grammar_names() -> list[str]:
+    """The closed set of grammar actions, sorted."""
+    fixed = ["Reduce", "Num", "Str", "Bytes", "NameConstant", "Ellipsis", "Index", "ExtSlice"]
+    return sorted({row[0] for row in grammar_rows()} | set(childless_nodes()) | set(fixed))
+
+
 def grammar_actions(spark) -> DataFrame:
     """The closed set of grammar actions, one ``token`` per row."""
-    fixed = ["Reduce", "Num", "Str", "Bytes", "NameConstant", "Ellipsis", "Index", "ExtSlice"]
-    names = {row[0] for row in grammar_rows()} | set(childless_nodes()) | set(fixed)
-    return spark.createDataFrame([(n,) for n in sorted(names)], "token string")
+    return fixed_table(spark, [(n,) for n in grammar_names()], "token string")
 
 
 def prepare(df: DataFrame, keys: Sequence[str], intent: str, snippet: str, limit: int = code.LENGTH_LIMIT) -> Prepared:
@@ -66,6 +71,30 @@ def prepare(df: DataFrame, keys: Sequence[str], intent: str, snippet: str, limit
     return Prepared(stage.where("status = 'kept'"), stage.where("status <> 'kept'"))
 
 
+def prepare_lines(
+    df: DataFrame, order: Sequence[str], intent: str, snippet: str, variables: str, limit: int = code.LENGTH_LIMIT, n_test: int = 1805, n_dev: int = 1000
+) -> Prepared:
+    """Numbered line pairs to slots and tokens; the last kept lines are test, those before them dev, the rest train.
+
+    Quoted literals of the request, then the names in ``variables`` (longest first), become slots; dotted names get their parts in brackets. A row
+    is rejected without a request or code, or if one of its token lists is longer than ``limit``.
+    """
+    names = sort_by_length(F.coalesce(variables, F.array().cast("array<string>")))
+    asked = df.select(*order, strip(intent).alias("_intent"), strip(snippet).alias("_code"), names.alias("_names"))
+    slotted = asked.withColumn("slots", literal_slots("_intent", F.col("_names")))
+    words = break_dotted(tokenize_ws(query_text("_intent", F.col("slots"), F.col("_names"))))
+    rows = slotted.select(
+        *order, tokenize_ws(percent_s_fix(F.array_join(words, " "))).alias("intent_tokens"), tokenize_code("_code").alias("snippet_tokens"), "slots"
+    )
+    lengths = code.length_status({"intent": F.size("intent_tokens"), "code": F.size("snippet_tokens")}, limit)
+    missing = F.when(F.coalesce(F.size("intent_tokens"), F.lit(0)) < 1, F.lit("missing_intent")).when(
+        F.coalesce(F.size("snippet_tokens"), F.lit(0)) < 1, F.lit("missing_code")
+    )
+    stage = materialize(rows.withColumn("status", F.coalesce(missing, lengths)), "lines")
+    kept = splits.tail_split(stage.where("status = 'kept'"), order, n_test, n_dev)
+    return Prepared(kept, stage.where("status <> 'kept'"))
+
+
 def merged(annotated: DataFrame, mined: DataFrame, order: Sequence[str], n_mined: int) -> DataFrame:
     """Annotated rows plus the first ``n_mined`` mined ones."""
     return splits.stack({"annotated": annotated, "mined": splits.first_rows(mined, order, n_mined)})

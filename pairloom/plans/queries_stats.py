@@ -131,25 +131,31 @@ def quoted_singletons(spark: SparkSession, folder: str) -> DataFrame:
     return found.agg(F.sum("n").alias("singletons"))
 
 
+SLOTTED = f"""{sql.PAIRS},
+    slotted as (
+      select conv_id, turn, {sql.tok("replace(intent, ' the ', ' var_0 ')")} as intent_tokens,
+        {sql.tok("replace(snippet, ' the ', ' var_0 ')")} as snippet_tokens from pairs),
+    common as (
+      select *, list_filter(list_intersect(list_distinct(intent_tokens), list_distinct(snippet_tokens)), lambda t: not regexp_matches(t, '^(var|str)_[0-9]+$')) as shared
+      from slotted)"""
+
+
 @query(
     "overlap_count",
-    f"""with {sql.TPAIRS}
-    select cast(sum(len(list_intersect(list_distinct(intent_tokens), list_distinct(snippet_tokens)))) as bigint) as shared,
-      cast(sum(len(intent_tokens)) as bigint) as tokens from tpairs""",
+    f"with {SLOTTED} select cast(sum(len(shared)) as bigint) as shared, cast(sum(len(intent_tokens)) as bigint) as tokens from common",
 )
 def overlap_count(spark: SparkSession, folder: str) -> DataFrame:
-    return counts.overlap_total(views.token_pairs(spark, folder), "intent_tokens", "snippet_tokens")
+    return counts.overlap_total(views.slotted_pairs(spark, folder), "intent_tokens", "snippet_tokens")
 
 
 @query(
     "overlap_distinct",
-    f"""with {sql.TPAIRS},
-    shared as (select unnest(list_intersect(intent_tokens, snippet_tokens)) as token from tpairs)
-    select (select count(distinct token) from shared) as shared_types,
-      (select cast(sum(len(intent_tokens)) as bigint) from tpairs) as tokens""",
+    f"""with {SLOTTED}
+    select (select count(distinct token) from (select unnest(shared) as token from common)) as shared_types,
+      (select cast(sum(len(intent_tokens)) as bigint) from common) as tokens""",
 )
 def overlap_distinct(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = views.token_pairs(spark, folder)
+    pairs = views.slotted_pairs(spark, folder)
     total = pairs.agg(F.sum(F.size("intent_tokens")).alias("tokens"))
     types = counts.overlap_types(pairs, "intent_tokens", "snippet_tokens").agg(F.count(F.lit(1)).alias("shared_types"))
     return types.select("shared_types", total.scalar().alias("tokens"))

@@ -38,6 +38,32 @@ def token_pairs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def slotted_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Token pairs in which the slot var_0 stands for every `` the ``."""
+    slot = [F.replace(c, F.lit(" the "), F.lit(" var_0 ")) for c in ("intent", "snippet")]
+    return pairs(spark, folder).select(
+        "conv_id", "turn", tokenize_code(slot[0]).alias("intent_tokens"), tokenize_code(slot[1]).alias("snippet_tokens")
+    )
+
+
+def action_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs ready for training; stops and commas play the part of two grammar actions."""
+    action = F.create_map(F.lit("."), F.lit("Reduce"), F.lit(","), F.lit("Call"))
+    actions = F.transform("snippet_tokens", lambda t: F.coalesce(action[t], t))
+    return token_pairs(spark, folder).select("conv_id", "turn", "intent_tokens", actions.alias("snippet_actions"))
+
+
+def line_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """One numbered line per part with a dotted name, a variable and a literal; every fiftieth is too long."""
+    text = F.concat(
+        F.lit("call mod.f"), F.col("size"), F.lit(" of "), F.col("name"), F.lit(" with '"), F.col("type"), F.lit("' or '%s' at end"),
+        F.when(F.col("p_partkey") % 50 == 0, F.repeat(F.lit(" x"), 200)).otherwise(F.lit("")),
+    )
+    return quoted_requests(spark, folder).select(
+        "p_partkey", text.alias("intent"), F.concat(F.lit(" f("), F.col("size"), F.lit(") ")).alias("snippet"), F.array("name").alias("variables")
+    )
+
+
 def annotated(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs whose rewritten intent is missing in every seventh."""
     rewritten = F.when((F.col("conv_id") + F.col("turn")) % 7 != 0, F.upper("intent"))
