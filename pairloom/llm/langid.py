@@ -3,10 +3,12 @@
 Each language has a probability for every piece of one fixed public vocabulary. A word's probability in a language is the sum over
 all its segmentations into pieces, by the forward algorithm; a text's is the product over its words. The
 probabilities are learned by expectation maximisation: forward and backward sums give the expected count of every piece in
-every distinct word of the training texts. Counts come from all training texts; what is broadcast is one row per piece.
+every distinct word of the training texts. Counts come from all training texts; what is broadcast is one row per piece. A language's counts are
+mixed with a background that all languages share, at the fixed weight ``SHARED``, so a piece that no training text holds tells nothing about the
+language, whatever amount of text each of them has. Words and pieces of any length take part: the lattice is linear in the word.
 
 A text without a letter, empty or null, is ``und`` with score 0. If nothing can be learned every text is ``und``. The score is the
-posterior of the language with equal priors, by the mean log probability of a word. Rows that repeat an id are judged one by one.
+posterior of the language with equal priors, by the mean log probability of a word; of equal languages the first by name is taken. Rows that repeat an id are judged one by one.
 Other columns are not read.
 """
 
@@ -24,9 +26,9 @@ from pairloom.llm.pieces import distinct
 from pairloom.llm.words import blocks, utf8, words
 
 ROUNDS = 3
-LONGEST = 24  # letters of a word that are scored at once; a longer run of letters is cut into parts
-LONGEST_PIECE = 10
-REMEMBERED = 200_000
+SHARED = 0.05
+REMEMBERED = 100_000  # runs of letters in each of the two generations a worker keeps
+CELLS = 1 << 17  # words times places that are worked on at once
 UNKNOWN = "und"
 
 _MARK = "▁"  # fixed value: how the vocabulary writes the beginning of a word
@@ -43,39 +45,94 @@ def vocabulary(path: str) -> dict[str, int]:
     pieces: dict[str, int] = {}
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i).lower()
-        body = piece.removeprefix(_MARK)
-        if body.isalpha() and len(body) <= LONGEST_PIECE:
+        if piece.removeprefix(_MARK).isalpha():
             pieces.setdefault(piece, len(pieces))
     return pieces
 
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_FILTER = 1 << 20
+
+
+class _Table:
+    """The vocabulary by the hashes of its pieces: sorted, with a bit for each, so that most places of a word are passed over at once."""
+
+    def __init__(self, path: str) -> None:
+        pieces = vocabulary(path)
+        self.longest = max(map(len, pieces), default=1)
+        hashes = np.zeros(len(pieces), np.uint64)
+        for size in range(1, self.longest + 1):
+            own = [i for p, i in pieces.items() if len(p) == size]
+            letters = _letters([p for p in pieces if len(p) == size]).reshape(-1, size)
+            total = np.zeros(len(own), np.uint64)
+            for k in range(size):
+                total = (total + letters[:, k]) * _STEP
+            hashes[own] = total
+        order = np.argsort(hashes)
+        self.keys, self.number = hashes[order], order
+        self.filter = np.zeros(_FILTER, bool)
+        self.filter[(hashes >> np.uint64(44)).astype(np.int64)] = True
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are pieces, and the numbers of these."""
+        likely = np.flatnonzero(self.filter[(hashes >> np.uint64(44)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.keys, hashes[likely]), len(self.keys) - 1)
+        right = self.keys[at] == hashes[likely]
+        return likely[right], self.number[at[right]]
+
+
+@cache
+def _table(path: str) -> _Table:
+    return _Table(path)
+
+
+def _letters(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+
+
 def _words_of(raw: bytes) -> list[str]:
-    """The words in a run of letter bytes, in parts of at most LONGEST letters; a part after the first has no mark."""
-    out = []
-    for word in _WORD.findall(raw.decode().lower()):
-        out += [(_MARK if at == 0 else "") + word[at : at + LONGEST] for at in range(0, len(word), LONGEST)]
-    return out
+    """The words in a run of letter bytes."""
+    return [_MARK + word for word in _WORD.findall(raw.decode().lower())]
+
+
+def _shares(texts: list[str]) -> Iterator[np.ndarray]:
+    """Places in the list, dealt so that words of about the same length are worked on together and one share stays small."""
+    size = np.array([len(t) for t in texts], np.int64)
+    order, first = np.argsort(size, kind="stable"), 0
+    while first < len(order):
+        room = max(CELLS // (size[order[first]] + 1), 1)
+        last = first + int(np.searchsorted(size[order[first : first + room]], 2 * size[order[first]], "right"))
+        yield order[first : max(last, first + 1)]
+        first = max(last, first + 1)
 
 
 class Lattice:
-    """All pieces in a batch of words: where each begins and ends, and its number (one past the last for an unknown letter)."""
+    """All pieces in some words: where each begins and ends, and its number (one past the last for an unknown letter)."""
 
-    def __init__(self, texts: list[str], pieces: dict[str, int]) -> None:
-        unknown = len(pieces)
-        arcs: list[tuple[int, int, int, int]] = []
+    def __init__(self, texts: list[str], path: str) -> None:
+        table, letters = _table(path), _letters(texts)
         self.length = np.array([len(t) for t in texts], np.int64)
-        for w, text in enumerate(texts):
-            for a in range(len(text)):
-                single = True
-                for b in range(a + 1, min(len(text), a + LONGEST_PIECE + 1) + 1):
-                    i = pieces.get(text[a:b])
-                    if i is not None:
-                        arcs.append((b, w, a, i))
-                        single = single and b > a + 1
-                if single:
-                    arcs.append((a + 1, w, a, unknown))
-        self.arcs = np.array(arcs, np.int64).reshape(-1, 4)
-        self.arcs = self.arcs[np.argsort(self.arcs[:, 0], kind="stable")]
+        word = np.repeat(np.arange(len(texts)), self.length)
+        place = np.arange(len(letters)) - np.repeat(np.cumsum(self.length) - self.length, self.length)
+        left = self.length[word] - place
+        at, total = np.arange(len(letters)), np.zeros(len(letters), np.uint64)
+        alone = np.ones(len(letters), bool)
+        found: list[tuple[np.ndarray, ...]] = []
+        for size in range(1, table.longest + 1):
+            inside = left[at] >= size
+            at, total = at[inside], total[inside]
+            if not len(at):
+                break
+            total = (total + letters[at + size - 1]) * _STEP
+            hit, number = table.find(total)
+            begin = at[hit]
+            if size == 1:
+                alone[begin] = False
+            found.append((place[begin] + size, word[begin], place[begin], number))
+        rest = np.flatnonzero(alone)
+        found.append((place[rest] + 1, word[rest], place[rest], np.full(len(rest), len(table.number))))
+        self.arcs = np.stack([np.concatenate([f[k] for f in found]) for k in range(4)], axis=1)
+        self.arcs = self.arcs[np.lexsort((self.arcs[:, 1], self.arcs[:, 0]))]
         self.steps = np.searchsorted(self.arcs[:, 0], np.arange(int(self.length.max(initial=0)) + 2))
 
     def forward(self, logs: np.ndarray) -> np.ndarray:
@@ -89,9 +146,8 @@ class Lattice:
     def _add(self, table: np.ndarray, arcs: np.ndarray, logs: np.ndarray, to: int, source: int) -> None:
         if not len(arcs):
             return
-        arcs = arcs[np.lexsort((arcs[:, to], arcs[:, 1]))]
         value = table[arcs[:, 1], arcs[:, source]] + logs[arcs[:, 3]]
-        begin = np.flatnonzero(np.append(True, (arcs[1:, 1] != arcs[:-1, 1]) | (arcs[1:, to] != arcs[:-1, to])))
+        begin = np.flatnonzero(np.append(True, arcs[1:, 1] != arcs[:-1, 1]))  # arcs of one step come by word
         table[arcs[begin, 1], arcs[begin, to]] = np.logaddexp.reduceat(value, begin, axis=0)
 
     def totals(self, logs: np.ndarray) -> np.ndarray:
@@ -102,7 +158,7 @@ class Lattice:
         alpha = self.forward(logs)
         beta = np.full(alpha.shape, -np.inf)
         beta[np.arange(len(self.length)), self.length] = 0
-        by_start = self.arcs[np.argsort(self.arcs[:, 2], kind="stable")]
+        by_start = self.arcs[np.lexsort((self.arcs[:, 1], self.arcs[:, 2]))]
         at = np.searchsorted(by_start[:, 2], np.arange(len(self.steps) + 1))
         for start in range(len(self.steps) - 2, -1, -1):
             self._add(beta, by_start[at[start] : at[start + 1]], logs, to=2, source=0)
@@ -152,28 +208,33 @@ def _expect(path: str, langs: list[str], logs: np.ndarray):
     """lang, word, n -> expected counts of pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = vocabulary(path)
-        total = np.zeros((len(pieces) + 1, len(langs)))
+        total = np.zeros(logs.shape)
         number = {lang: j for j, lang in enumerate(langs)}
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                texts, weight = [], []
-                for lang, word, n in zip(*(part.column(k).to_pylist() for k in range(3))):
-                    for w in _words_of(word.encode()):
-                        texts.append(w)
-                        weight.append((number[lang], n))
-                if texts:
-                    table = np.zeros((len(texts), len(langs)))
-                    own = np.array(weight)
-                    table[np.arange(len(texts)), own[:, 0]] = own[:, 1]
-                    total += Lattice(texts, pieces).expected(logs, table, len(pieces) + 1)
+            texts, own = [], []
+            for lang, word, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                for w in _words_of(word.encode()):
+                    texts.append(w)
+                    own.append((number[lang], n))
+            for part in _shares(texts):
+                lang, n = np.array([own[k] for k in part]).T
+                table = np.zeros((len(part), len(langs)))
+                table[np.arange(len(part)), lang] = n
+                total += Lattice([texts[k] for k in part], path).expected(logs, table, len(total))
         piece, lang = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(lang), pa.array(total[piece, lang])], names=["piece", "lang", "n"])
 
     return run
 
 
+def smoothed(counts: np.ndarray) -> np.ndarray:
+    """Log probabilities: each language's shares, mixed with the background of all languages and of unseen pieces."""
+    totals = counts.sum(axis=0, keepdims=True)
+    share = np.divide(counts, totals, out=np.full(counts.shape, 1 / len(counts)), where=totals > 0)
+    shared = (share.mean(axis=1, keepdims=True) + 1 / len(counts)) / 2
+    return np.log((1 - SHARED) * share + SHARED * shared)
+
+
 def train(texts: DataFrame, path: str, text_column: str = "text", lang_column: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages and the log probabilities of their pieces, learned from all rows with a language."""
     from pairloom.llm.stages import Stage
@@ -186,34 +247,41 @@ def train(texts: DataFrame, path: str, text_column: str = "text", lang_column: s
     logs = np.full((size, max(len(langs), 1)), -np.log(size))
     for _ in range(ROUNDS if langs else 0):
         found = stage.df.mapInArrow(_expect(path, langs, logs), "piece bigint, lang bigint, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n"))
-        counts = np.full(logs.shape, 0.1)
+        counts = np.zeros(logs.shape)
         rows = found.toArrow()  # at most pieces x languages rows
         counts[rows["piece"].to_numpy(), rows["lang"].to_numpy()] += rows["n"].to_numpy()
-        logs = np.log(counts / counts.sum(axis=0, keepdims=True))
+        logs = smoothed(counts)
     stage.drop()
     return langs, logs
 
 
 def _predict(path: str, langs: list[str], logs: np.ndarray):
-    remembered: dict[bytes, np.ndarray] = {}
+    young: dict[bytes, np.ndarray] = {}
+    old: dict[bytes, np.ndarray] = {}
 
     def totals(found: list[bytes]) -> np.ndarray:
         """Log probability of each run of letters by language; one more column counts its words."""
-        pieces = vocabulary(path)
-        missing = [f for f in found if f not in remembered]
-        if len(remembered) + len(missing) > REMEMBERED:
-            remembered.clear()
-            missing = found
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            split = [_words_of(f) for f in part]
-            flat = [w for s in split for w in s]
-            value = Lattice(flat, pieces).totals(logs) if flat else np.zeros((0, logs.shape[1]))
-            place = 0
-            for f, s in zip(part, split):
-                remembered[f] = np.append(value[place : place + len(s)].sum(axis=0), len(s))
-                place += len(s)
-        return np.array([remembered[f] for f in found])
+        nonlocal young, old
+        if len(young) > REMEMBERED:
+            young, old = {}, young
+        out = np.zeros((len(found), logs.shape[1] + 1))
+        texts, owner = [], []
+        for k, f in enumerate(found):
+            known = young.get(f)
+            known = old.get(f) if known is None else known
+            if known is None:
+                split = _words_of(f)
+                texts += split
+                owner += [k] * len(split)
+                out[k, -1] = len(split)
+            else:
+                young[f] = out[k] = known
+        own = np.array(owner, np.int64)
+        for part in _shares(texts):
+            np.add.at(out[:, :-1], own[part], Lattice([texts[k] for k in part], path).totals(logs))
+        for k in dict.fromkeys(owner):
+            young[found[k]] = out[k].copy()
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
