@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pairloom.llm.stages import Stage
 from pairloom.llm.words import WHITE, blocks, utf8, words
 from pairloom.operators.lookup import lookup_join
+from pairloom.session import fixed_table
 
 SHARD = 2 << 20
 BUCKET = 8 << 20
@@ -235,7 +236,7 @@ def _steps() -> list[tuple[str, int, int, int]]:
 
 def every_order(counts: DataFrame) -> DataFrame:
     """What each filter does at each step of each order, from the counts of ``failure_counts``."""
-    steps = counts.sparkSession.createDataFrame(_steps(), "filter_order string, step int, before int, own int")
+    steps = fixed_table(counts.sparkSession, _steps(), "filter_order string, step int, before int, own int")
     here = counts.select("*", F.explode(F.lit([1 << k for k in range(len(FILTERS))])).alias("own")).join(F.broadcast(steps), "own")  # 600 steps
     fails, before, own = F.col("fails"), F.col("before"), F.col("own")
     earlier, failing = fails.bitwiseAND(before) != 0, fails.bitwiseAND(own) != 0

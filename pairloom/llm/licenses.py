@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pairloom.llm.stages import Stage
 from pairloom.llm.words import NOT_ALPHANUMERIC, blocks, grams, utf8, words
+from pairloom.session import fixed_table
 
 GRAM = 2
 SLACK = 3
@@ -80,7 +81,7 @@ def _positions(spark: SparkSession, templates: Sequence[Template]) -> DataFrame:
         if not 0 < len(hashes) < 64:
             raise ValueError(f"a template has 2 to 64 words: {template.text!r}")
         rows += [(int(h), t, place) for place, h in enumerate(hashes)]
-    return spark.createDataFrame(rows, "gram bigint, template int, place int")
+    return fixed_table(spark, rows, "gram bigint, template int, place int")
 
 
 def _rolling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +137,7 @@ class Scan:
 
     def _spans(self, spark: SparkSession, templates: Sequence[Template]) -> DataFrame:
         sizes = [(t, x.label, x.exact, x.base, len(x.text.split())) for t, x in enumerate(templates)]
-        known = F.broadcast(spark.createDataFrame(sizes, "template int, label string, exact boolean, base boolean, size int"))
+        known = F.broadcast(fixed_table(spark, sizes, "template int, label string, exact boolean, base boolean, size int"))
         votes = (
             self._hits.df.where(F.col("template") != _NO_TEMPLATE)
             .groupBy("row", "template", (F.col("word") - F.col("place")).alias("diagonal"))
