@@ -205,7 +205,8 @@ def benchmark_hits(
     """Per row of ``docs``: id, n_words, begins and ends of the word spans that windows cover, items found (sorted)."""
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     named = benchmark.select(F.col(item_column).cast("bigint").alias("item"), F.col(item_text).alias("text"))
-    windows = Stage(named.mapInArrow(_windows, "item bigint, length int, shingles array<bigint>"), "windows")
+    # equal windows of one item are one: only different ones can be dealt to different blocks
+    windows = Stage(named.mapInArrow(_windows, "item bigint, length int, shingles array<bigint>").distinct(), "windows")
     total = windows.df.count()
     many = max(1, -(-total // BLOCK_WINDOWS))
     while total and many > 1:  # until no block is too large

@@ -182,3 +182,14 @@ def test_spans_of_a_changed_sentence(spark):
     scan = Scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), templates=[template])
     spans = [(r["first"], r["last"], r["share"]) for r in scan.spans.orderBy("first").collect()]
     assert spans == [(2, 23, 1.0), (40, 59, 1.0)]
+
+
+def test_a_benchmark_of_one_repeated_word(spark, monkeypatch):
+    from pairloom.llm import decontaminate
+
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 5)
+    rows = [(1, "same " * 30), (1, "same " * 30), (2, " ".join(f"w{k}" for k in range(40)))]
+    benchmark = spark.createDataFrame(rows, "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "a " + "same " * 12 + "b"), (2, "same " * 9), (3, " ".join(f"w{k}" for k in range(5, 20)))], "doc_id bigint, text string")
+    found = {r["id"]: (r["begins"], r["ends"], r["items"]) for r in decontaminate.benchmark_hits(docs, benchmark).collect()}
+    assert found == {1: ([1], [13], [1]), 2: ([], [], []), 3: ([0], [15], [2])}
