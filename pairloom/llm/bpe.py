@@ -33,7 +33,7 @@ _NOT_SPACE = _SPACE.replace("[", "[^", 1)
 _PATTERN = SPLIT.replace(r"[^\s", _NOT_SPACE[:-1]).replace(r"\s", _SPACE).replace(r"(?!\S)", f"(?!{_NOT_SPACE})")
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in the vocabulary file."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(plain)]
@@ -46,7 +46,7 @@ class Vocabulary:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
             loaded = json.load(file)
-        letters = _byte_letters()
+        letters = byte_letters()
         ids = loaded["model"]["vocab"]
         merges = [m if isinstance(m, list) else m.split(" ") for m in loaded["model"]["merges"]]
         size = max([*ids.values(), *(t["id"] for t in loaded["added_tokens"])]) + 1

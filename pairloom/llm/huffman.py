@@ -1,6 +1,6 @@
 """Token ids as canonical length-limited Huffman codes, in independent blocks of a written table.
 
-Ids are counted over all documents; package merging gives the best code whose lengths are at most ``LIMIT`` bits, and the lengths
+Texts are encoded once, into a stage of packed ids with the counts of each task beside them. Ids are counted over all documents; package merging gives the best code whose lengths are at most ``LIMIT`` bits, and the lengths
 alone define the canonical code. Documents go to files in ascending order of id (a range partition of the ids, then a sort in each
 range). A block holds whole documents of about ``BLOCK_IDS`` ids: their ids and lengths, the code bits, and the bit offset of
 every ``STEP``-th id. Reading needs one block and the code lengths: the decoder starts at all checkpoints of a block at once and looks
@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pairloom.llm.pieces import Remembering, count_ids, encode_texts
-from pairloom.llm.stages import partitions
+from pairloom.llm.bpe import byte_letters
+from pairloom.llm.pieces import Remembering, encode_texts
+from pairloom.llm.stages import Stage, partitions
 
 LIMIT = 16
 END = 2
 BLOCK_IDS = 1 << 20
 STEP = 512
+_BLOCKS = "shard bigint, block bigint, n_ids bigint, doc_ids array<bigint>, bits binary"
 _MAGIC = b"HUF1"
 _HEAD = struct.Struct("<4sQQQ")  # magic, ids, documents, bits
 
@@ -131,35 +133,79 @@ def unpack(block: bytes, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarr
     return out.T.ravel()[:many], counts
 
 
+def _one_word(text: str) -> bool:
+    """Letters of the Latin blocks, with one blank before them or none: one word of the published split pattern, whatever its Unicode version."""
+    letters = text[1:] if text[0] == " " else text
+    return letters.isalpha() and (letters.isascii() or max(letters) < "\u0250")
+
+
 @cache
 def _encoder(path: str) -> tuple[Remembering, tuple[bytes, ...], int]:
+    """The library's encoder of pieces, the special tokens, the size of the vocabulary. Pieces of one word go straight to the library's model."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_padding()
     tokenizer.no_truncation()
     special = tuple(t.content.encode() for t in tokenizer.get_added_tokens_decoder().values())
-    run = lambda pieces: [e.ids for e in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+    split = tokenizer.pre_tokenizer
+    by_words = tokenizer.normalizer is None and isinstance(split, ByteLevel) and split.use_regex and not split.add_prefix_space
+    letters = {b: c for c, b in byte_letters().items()}
+    model = tokenizer.model
+
+    def run(pieces: list[bytes]) -> list[list[int]]:
+        texts = [p.decode() for p in pieces]
+        out: list[list[int] | None] = [None] * len(pieces)
+        rest = []
+        for k, text in enumerate(texts):
+            if by_words and _one_word(text) and pieces[k] not in special:
+                out[k] = [t.id for t in model.tokenize(pieces[k].decode("latin-1").translate(letters))]
+            else:
+                rest.append(k)
+        if not rest:
+            return out
+        for k, coded in zip(rest, tokenizer.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False)):
+            out[k] = coded.ids
+        return out
+
     return Remembering(run), special, tokenizer.get_vocab_size(with_added_tokens=True)
 
 
-def _counts(path: str):
+def _packed(size: int) -> str:
+    """How an id below ``size`` is kept in the stage."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+_CODED = "id bigint, ids binary, token array<int>, n array<bigint>"
+
+
+def _code(path: str):
+    """id, text -> id and its packed ids, ``END`` included; the last row of a task has no ids but how often each id occurred in the task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, special, size = _encoder(path)
-        total = np.zeros(size, np.int64)
+        total, kind = np.zeros(size, np.int64), _packed(size)
+        width = np.dtype(kind).itemsize
+        names = ["id", "ids", "token", "n"]
         for batch in batches:
-            count_ids(batch.column(0), encoder, special, total)
-            total[END] += batch.num_rows
+            for first, last, flat, at in encode_texts(batch.column(1), encoder, special):
+                with_end = np.insert(flat, at[1:], END)
+                total += np.bincount(with_end, minlength=size)
+                places = (at + np.arange(len(at))).astype(np.int32) * width
+                ids = pa.BinaryArray.from_buffers(pa.binary(), last - first, [None, pa.py_buffer(places), pa.py_buffer(with_end.astype(kind))])
+                nothing = pa.nulls(last - first, pa.list_(pa.int32())), pa.nulls(last - first, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), ids, *nothing], names=names)
         used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["token", "n"])
+        counts = pa.array([used], pa.list_(pa.int32())), pa.array([total[used]], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), *counts], names=names)
 
     return run
 
 
-def _blocks(path: str, lengths: np.ndarray):
+def _blocks(kind: str, lengths: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, special, _ = _encoder(path)
         codes = canonical(lengths)
         shard, number = TaskContext.get().partitionId(), 0
         ids: list[np.ndarray] = []
@@ -182,13 +228,12 @@ def _blocks(path: str, lengths: np.ndarray):
 
         for batch in batches:
             own = batch.column(0).to_pylist()
-            for first, last, flat, at in encode_texts(batch.column(1), encoder, special):
-                with_end = np.insert(flat, at[1:], END)
-                size = np.diff(at) + 1
-                ids.append(with_end)
-                counts.extend(size.tolist())
-                named.extend(own[first:last])
-                held += len(with_end)
+            for row, packed in enumerate(batch.column(1)):
+                coded = np.frombuffer(packed.as_buffer(), kind).astype(np.int32)
+                ids.append(coded)
+                counts.append(len(coded))
+                named.append(own[row])
+                held += len(coded)
                 if held >= BLOCK_IDS:
                     yield block()
                     number, held = number + 1, 0
@@ -230,16 +275,19 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, id_column: str = "doc_
     """Encode all texts and write the files: ``path``/codes (length of each id's code) and ``path``/blocks."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    counted = texts.select("text").mapInArrow(_counts(tokenizer), "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
+    coded = Stage(texts.mapInArrow(_code(tokenizer), _CODED), "token-ids")
+    by_task = coded.df.where("token is not null").select(F.explode(F.arrays_zip("token", "n")).alias("c"))
+    counted = by_task.groupBy("c.token").agg(F.sum("c.n").alias("n")).toArrow()
     token, n = counted["token"].to_numpy(), counted["n"].to_numpy()  # a row per id of the vocabulary at most
     counts = np.zeros(int(token.max(initial=END)) + 1, np.int64)
     counts[token] = n
     lengths = code_lengths(counts)
     used = np.flatnonzero(lengths)
     spark.createDataFrame(pa.table({"token": used, "bits": lengths[used]})).coalesce(1).write.parquet(f"{path}/codes")
-    ordered = texts.repartitionByRange(partitions(spark), "id").sortWithinPartitions("id")
-    blocks = ordered.mapInArrow(_blocks(tokenizer, lengths), "shard bigint, block bigint, n_ids bigint, doc_ids array<bigint>, bits binary")
+    ordered = coded.df.where("ids is not null").select("id", "ids").repartitionByRange(partitions(spark), "id").sortWithinPartitions("id")
+    blocks = ordered.mapInArrow(_blocks(_packed(_encoder(tokenizer)[2]), lengths), _BLOCKS)
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
+    coded.drop()
 
 
 def _lengths(spark: SparkSession, path: str) -> np.ndarray:
@@ -250,9 +298,6 @@ def _lengths(spark: SparkSession, path: str) -> np.ndarray:
     return lengths
 
 
-_BLOCKS = "shard bigint, block bigint, n_ids bigint, doc_ids array<bigint>, bits binary"
-
-
 def block_starts(spark: SparkSession, path: str) -> DataFrame:
     """Ids before each block: a running sum over a shard's blocks, plus the shards before (one row per shard)."""
     sizes = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks").select("shard", "block", "n_ids")

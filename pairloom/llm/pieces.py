@@ -9,6 +9,7 @@ never taken for another. What was encoded lately is remembered, up to a fixed nu
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -72,7 +73,7 @@ def distinct(data: np.ndarray, begin: np.ndarray) -> tuple[list[bytes], np.ndarr
 class Remembering:
     """Encodes distinct pieces; keeps the latest in two generations, so that memory stays bounded."""
 
-    def __init__(self, encode: Callable[[list[bytes]], Sequence[np.ndarray]]) -> None:
+    def __init__(self, encode: Callable[[list[bytes]], Sequence[list[int]]]) -> None:
         self.encode = encode
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -91,7 +92,7 @@ class Remembering:
         for at in range(0, len(ask), 20_000):
             part = ask[at : at + 20_000]
             for k, ids in zip(part, self.encode([found[k] for k in part])):
-                out[k] = self.new[found[k]] = np.asarray(ids, "<i4").tobytes()
+                out[k] = self.new[found[k]] = array("i", ids).tobytes()
         if len(self.new) > REMEMBERED:
             self.old, self.new = self.new, {}
         return out
@@ -112,23 +113,6 @@ def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int,
         yield first, last, low, high
 
 
-def count_ids(texts: pa.Array, encoder: Remembering, special: Sequence[bytes], total: np.ndarray) -> None:
-    """Adds to ``total`` how often each id occurs in the texts; nothing is put in order for that."""
-    data, offsets = utf8(texts)
-    for first, last, low, high in _segments(data, offsets):
-        part = data[low:high]
-        if not len(part):
-            continue
-        cut = cuts(part, special)
-        here = offsets[first : last + 1]
-        cut[here[(here >= low) & (here < high)] - low] = True
-        cut[0] = True
-        found, which = distinct(part, np.flatnonzero(cut))
-        coded = encoder(found)
-        times = np.repeat(np.bincount(which, minlength=len(found)), [len(c) >> 2 for c in coded])
-        total += np.bincount(np.frombuffer(b"".join(coded), "<i4"), weights=times, minlength=len(total)).astype(np.int64)
-
-
 def encode_texts(texts: pa.Array, encoder: Remembering, special: Sequence[bytes] = ()) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For runs of texts: first row, last row, ids of all, and where each text's ids begin (one more entry than texts)."""
     data, offsets = utf8(texts)
