@@ -257,3 +257,18 @@ def test_huffman_codes():
     block = huffman.pack(ids, np.array([4000, 0, 1000]), short, huffman.canonical(short))
     back, documents = huffman.unpack(block, huffman.decoding_table(short))
     assert (back == ids).all() and documents.tolist() == [4000, 0, 1000]
+
+
+def test_token_files_of_odd_rows_agree_with_the_library(spark):
+    library = Tokenizer.from_file(TOKENIZER)
+    texts = [None, "", " ", "a" * 100_000, "word " * 20_000, "ª º µ Ñandú ŉ ǅ ßɐ x²", "don't I'LL 12ab\tc\nThe<|endoftext|>end", "日本 語 ñ́a", "A b", "same", "same", "  x  y"]
+    rows = [(None if k == 9 else k, text, "clash") for k, text in enumerate(texts)]
+    path = fresh_path(spark, "ids")
+    huffman.write_ids(spark.createDataFrame(rows, "doc_id bigint, text string, ids string").repartition(3), path, TOKENIZER)
+    want, start = [], 0
+    for i, text, _ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, huffman.END]
+        want.append((i, start, len(ids), zlib.crc32(b"".join(t.to_bytes(4, "little") for t in ids))))
+        start += len(ids)
+    got = [(r["id"], r["start"], r["n_ids"], r["crc32"]) for r in huffman.documents_of(spark, path).collect()]
+    assert sorted(got, key=lambda r: r[1]) == want
