@@ -225,6 +225,8 @@ def _search(quantisers: dict[int, Quantiser], cosine: float, kind: type):
 def _train(classes: DataFrame, cosine: float, kind: type) -> dict[int, Quantiser]:
     """A quantiser for each length of vectors, from a sample of ``SAMPLE`` in all; a length that the sample leaves out has one cell."""
     sizes = {r[0]: r[1] for r in classes.groupBy("width").count().collect()}  # one row per length
+    if not sizes:
+        return {}
     share = F.create_map(*[F.lit(x) for w, n in sizes.items() for x in (w, min(1.0, SAMPLE / len(sizes) / n))])
     place = F.pmod(F.xxhash64("vec"), F.lit(1 << 30)) / float(1 << 30)
     sample = classes.where(place < share[F.col("width")]).select("width", "vec").toArrow()
