@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import ArrowUDFType
 
-from pairloom.llm.stages import carried, with_carried
+from pairloom.llm.stages import carried
 from pairloom.llm.words import blocks, mix, utf8, words
 
 SAMPLE = 20_000
@@ -36,6 +37,7 @@ THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
 STATES = 28  # a boundary, a to z, any other letter
 LONGEST = 64  # signs decoded together
+REMEMBERED = 20_000  # decoded parts, in each of two generations
 
 # Signs and the letters they are used for.
 LOOKS_LIKE = {
@@ -174,20 +176,83 @@ def _rare_twice(model: np.ndarray) -> str:
     return "".join(chr(96 + c) for c in range(1, STATES - 1) if model[c, c] < _COST["repeat once"])
 
 
+_LETTER, _SPACE, _DIGIT, _SIGN, _SEPARATOR, _KNOWN = (1 << k for k in range(6))
+
+
+@cache
+def _characters() -> tuple[np.ndarray, np.ndarray]:
+    """Kinds and lower case of all characters, filled in as they are met."""
+    return np.zeros(0x110000, np.uint8), np.arange(0x110000, dtype=np.uint32)
+
+
+def _kinds(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Kind and lower case of each code point."""
+    kinds, lower = _characters()
+    for point in np.unique(points[kinds[points] == 0]).tolist():
+        c = chr(point)
+        tests = ((_LETTER, regex.match(r"\p{L}", c)), (_SPACE, regex.match(r"\s", c)), (_DIGIT, regex.match(r"\d", c)), (_SIGN, c in LOOKS_LIKE), (_SEPARATOR, c in " .-_*"))
+        kinds[point] = _KNOWN | sum(bit for bit, holds in tests if holds)
+        lower[point] = ord(c.lower()) if len(c.lower()) == 1 else point
+    return kinds[points], lower[points]
+
+
+@cache
+def _run_pattern() -> regex.Pattern:
+    return regex.compile(_RUN, regex.IGNORECASE)
+
+
+def spots(text: str, rare: str) -> list[tuple[int, int, bool]]:
+    """Begin and end of what ``_disguised(rare)`` matches, overlaps included, and whether it is a run: found for all characters at once."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(points) < 2:
+        return []
+    kind, lower = _kinds(points)
+    letter, space, sign = (kind & bit != 0 for bit in (_LETTER, _SPACE, _SIGN))
+    hits = [np.flatnonzero(letter[:-1] & sign[1:] | sign[:-1] & letter[1:])]
+    again = letter[1:] & (lower[1:] == lower[:-1])
+    hits.append(np.flatnonzero(again[1:] & again[:-1]))
+    hits.append(np.flatnonzero(again & np.isin(lower[1:], [ord(c) for c in rare])))
+    at = np.flatnonzero(letter)
+    blanks = np.cumsum(space, dtype=np.int32)
+    hits.append(at[:-1][(np.diff(at) > 1) & (blanks[at[1:]] == blanks[at[:-1]])])
+    edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
+    begin, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    token = np.unique(np.searchsorted(begin, np.concatenate(hits), "right") - 1)
+    found = {b: (e, False) for b, e in zip(begin[token].tolist(), end[token].tolist())}
+    single, parted = letter | sign, kind & _SEPARATOR != 0
+    after = np.append(True, kind[:-1] & (_LETTER | _DIGIT) == 0)
+    if len(points) >= 5:
+        for start in np.flatnonzero(after[:-4] & single[:-4] & parted[1:-3] & single[2:-2] & parted[3:-1] & single[4:]).tolist():
+            if m := _run_pattern().match(text, start):
+                found[start] = (m.end(), True)
+    return [(start, *found[start]) for start in sorted(found)]
+
+
+def _parts(token: str, run: bool) -> Iterator[str]:
+    """A run that holds a letter; a token in parts of ``LONGEST`` signs, each beginning in the middle of the one before."""
+    if not run:
+        yield from (token[cut : cut + LONGEST] for cut in range(0, max(len(token) - LONGEST // 2, 1), LONGEST // 2))
+    elif any(c.isalpha() for c in token):
+        yield token
+
+
+def _ways(part: str, run: bool) -> Iterator[tuple[str, bool]]:
+    """What of a part is to be decoded, and whether signs at its ends must be letters."""
+    if run:
+        yield part, True
+        return
+    yield part, False
+    for kept in dict.fromkeys((part, part.strip(_PUNCTUATION))):
+        if _AT_AN_END.search(kept):
+            yield kept, True
+
+
 def readings(text: str, model: np.ndarray) -> Iterator[tuple[int, str, bool, bool]]:
     """Where tokens that look disguised begin, what is to be decoded, whether signs at its ends must be letters, and whether it is a run."""
-    for m in _disguised(_rare_twice(model)).finditer(text, overlapped=True):
-        token = m[0].lower()
-        if m["run"]:
-            if any(c.isalpha() for c in token):
-                yield m.start(), token, True, True
-            continue
-        for cut in range(0, len(token), LONGEST):
-            part = token[cut : cut + LONGEST]
-            yield m.start(), part, False, False
-            for kept in dict.fromkeys((part, part.strip(_PUNCTUATION))):
-                if _AT_AN_END.search(kept):
-                    yield m.start(), kept, True, False
+    for start, end, run in spots(text, _rare_twice(model)):
+        for part in _parts(text[start:end].lower(), run):
+            for kept, ends in _ways(part, run):
+                yield start, kept, ends, run
 
 
 def _words_of(made: str, run: bool) -> str:
@@ -213,57 +278,95 @@ def _features(data: np.ndarray, begin: np.ndarray, until: np.ndarray, whole: np.
     return out
 
 
-def _text_features(texts: pa.Array, model: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+class _Restored:
+    """Features of the words behind a part, its ways of reading together: rows, left neighbours, and where a way begins. Each part is decoded once, as long as it is remembered."""
+
+    def __init__(self, model: np.ndarray) -> None:
+        self.model = model
+        self.young: dict[tuple[str, bool], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.old: dict = {}
+
+    def look_up(self, wanted: list[tuple[str, bool]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        different = dict.fromkeys(wanted)
+        own = {w: self.young.get(w) or self.old.get(w) for w in different}
+        new = [w for w in different if own[w] is None]
+        own.update(zip(new, self._make(new)))
+        self.young.update(own)
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = dict(list(self.young.items())[-REMEMBERED:]), {}
+        return [own[w] for w in wanted]
+
+    def _make(self, parts: list[tuple[str, bool]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for at in range(0, len(parts), 4096):
+            some = parts[at : at + 4096]
+            ways = [list(_ways(*p)) for p in some]
+            made: dict[tuple[str, bool], str] = {}
+            for ends in (False, True):
+                tokens = list({t: None for w in ways for t, e in w if e == ends})
+                made.update(zip(((t, ends) for t in tokens), restore(tokens, self.model, ends)))
+            flat = [_words_of(made[w].strip(), run).encode() for own, (_, run) in zip(ways, some) for w in own]
+            offsets = np.append(0, np.cumsum([len(f) for f in flat]))
+            data = np.frombuffer(b"".join(flat), np.uint8)
+            hashes, begin, until, first = words(data, offsets, _NOT_LETTERS, lower=True)
+            rows = _features(data, begin, until, hashes)
+            left = np.append(np.zeros(1, np.uint64), hashes)[:-1]
+            leads = np.zeros(len(hashes) + 1, bool)
+            leads[first[:-1]] = True
+            way = 0
+            for own in ways:
+                low, high = first[way], first[way + len(own)]
+                yield rows[low:high].copy(), left[low:high].copy(), leads[low:high].copy()
+                way += len(own)
+
+
+def _text_features(texts: pa.Array, restored: _Restored) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per text: features of its words, plain and restored (rows), and the hash of each word's left neighbour."""
     data, offsets = utf8(texts)
-    for first, last in blocks(offsets):
+    rare = _rare_twice(restored.model)
+    for first, last in blocks(offsets, 1 << 20):
         low = offsets[first]
         part = data[low : offsets[last]]
         hashes, begin, until, at = words(part, offsets[first : last + 1] - low, _NOT_LETTERS, lower=True)
         found = _features(part, begin, until, hashes)
-        left = np.concatenate([np.zeros(1, np.uint64), hashes[:-1]])
+        left = np.append(np.zeros(1, np.uint64), hashes)[:-1]
+        left[at[:-1][at[:-1] < len(left)]] = 0  # a text's first word has none
         raw = part.tobytes()
-        disguised, owner, place = [], [], []
-        for k in range(first, last):
-            text = raw[offsets[k] - low : offsets[k + 1] - low].decode()
-            byte, char = int(offsets[k] - low), 0
-            for start, *reading in readings(text, model):
-                byte, char = byte + len(text[char:start].encode()), start
-                disguised.append(tuple(reading))
-                owner.append(k)
-                place.append(byte)
-        number: dict[tuple[str, bool, bool], int] = {}
-        which = [number.setdefault(t, len(number)) for t in disguised]
-        restored = [""] * len(number)
-        for ends in (False, True):
-            part = [r for r in number if r[1] == ends]
-            for r, made in zip(part, restore([token for token, _, _ in part], model, ends)):
-                restored[number[r]] = _words_of(made.strip(), r[2])
-        before = np.searchsorted(begin, np.array(place, np.int64)) - 1  # the last word that begins before the token
-        more: dict[int, list[tuple[bytes, int]]] = {}
-        for k, w, word in zip(owner, which, before.tolist()):
-            if made := restored[w].strip():
-                more.setdefault(k, []).append((made.encode(), int(hashes[word]) if word >= at[k - first] else 0))
-        for k in range(first, last):
-            rows, context = found[at[k - first] : at[k - first + 1]], left[at[k - first] : at[k - first + 1]]
-            if k in more:
-                own = np.frombuffer(b" ".join(made for made, _ in more[k]), np.uint8)
-                h, b, e, _ = words(own, np.array([0, len(own)]), _NOT_LETTERS, lower=True)
-                beside = np.concatenate([np.zeros(1, np.uint64), h[:-1]])
-                starts = np.cumsum([0, *(len(made) + 1 for made, _ in more[k][:-1])])
-                beside[np.searchsorted(b, starts)] = np.array([word for _, word in more[k]], np.uint64)
-                rows = np.concatenate([rows, _features(own, b, e, h)])
-                context = np.concatenate([context, beside])
+        edges = (offsets[first : last + 1] - low).tolist()
+        parted = [raw[a:b].decode() for a, b in zip(edges, edges[1:])]
+        opens = np.cumsum([0, *(len(t) + 1 for t in parted)])  # texts are joined by line ends, which no match crosses
+        together = "\n".join(parted)
+        wanted, places = [], []
+        for start, end, run in spots(together, rare):
+            for p in _parts(together[start:end].lower(), run):
+                wanted.append((p, run))
+                places.append(start)
+        if wanted:
+            entries = restored.look_up(wanted)
+            place = np.array(places, np.int64)
+            owner = np.searchsorted(opens, place, "right") - 1
+            byte = np.flatnonzero((part & 0xC0) != 0x80)[place - owner]
+            before = np.searchsorted(begin, byte) - 1  # the last word that begins before the token
+            word = np.where(before >= at[owner], hashes[before] if len(hashes) else np.uint64(0), np.uint64(0))
+            size = np.array([len(e[1]) for e in entries])
+            more, beside, leads = (np.concatenate([e[j] for e in entries]) for j in range(3))
+            beside[leads] = np.repeat(word, size)[leads]
+            span = np.searchsorted(np.repeat(owner, size), np.arange(last - first + 1))
+        for k in range(last - first):
+            rows, context = found[at[k] : at[k + 1]], left[at[k] : at[k + 1]]
+            if wanted and span[k] < span[k + 1]:
+                rows = np.concatenate([rows, more[span[k] : span[k + 1]]])
+                context = np.concatenate([context, beside[span[k] : span[k + 1]]])
             yield rows, context
 
 
 def _batches(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """id, text, toxic -> the features of few texts at a time, with left neighbour, text id and label of each."""
+    restored = _Restored(model)
     for whole in batches:
         for at in range(0, whole.num_rows, 128):
             batch = whole.slice(at, 128)
             keys, lefts, own, marks = [], [], [], []
-            for i, (rows, context), toxic in zip(batch.column(0).to_pylist(), _text_features(batch.column(1), model), batch.column(2).to_pylist()):
+            for i, (rows, context), toxic in zip(batch.column(0).to_pylist(), _text_features(batch.column(1), restored), batch.column(2).to_pylist()):
                 keys.append(rows.ravel())
                 lefts.append(np.repeat(context, rows.shape[1]))
                 own.append(np.full(rows.size, i, np.int64))
@@ -337,25 +440,24 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, id_column: str
 
 
 def _score(model: np.ndarray, key: np.ndarray, value: np.ndarray):
+    """Texts to scores, as a column function: the other columns of a row never reach a Python worker."""
     bits = np.zeros(1 << 20, bool)
     bits[key & (len(bits) - 1)] = True
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                scores = []
-                for rows, _ in _text_features(batch.column(1), model):
-                    flat = rows.ravel().view(np.int64)
-                    maybe = flat[bits[flat & (len(bits) - 1)]] if len(key) else flat[:0]
-                    at = np.minimum(np.searchsorted(key, maybe), max(len(key) - 1, 0))
-                    hit = value[at[key[at] == maybe]] if len(maybe) else value[:0]
-                    words_in = len(rows)
-                    scores.append(float(hit.max()) if len(hit) else 0.1 * words_in / (words_in + 1000))
-                handed = {"text": batch.column(1), "row": batch.column(2)} if batch.num_columns > 2 else {}
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), *handed.values()], names=["id", "score", *handed])
+    def scored(texts: pa.Array, restored: _Restored) -> Iterator[float]:
+        for rows, _ in _text_features(texts, restored):
+            flat = rows.ravel().view(np.int64)
+            maybe = flat[bits[flat & (len(bits) - 1)]] if len(key) else flat[:0]
+            at = np.minimum(np.searchsorted(key, maybe), max(len(key) - 1, 0))
+            hit = value[at[key[at] == maybe]] if len(maybe) else value[:0]
+            yield float(hit.max()) if len(hit) else 0.1 * len(rows) / (len(rows) + 1000)
 
-    return run
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        restored = _Restored(model)
+        for texts in batches:
+            yield pa.array(scored(texts, restored), pa.float64())
+
+    return F.arrow_udf(score, "double", ArrowUDFType.SCALAR_ITER)
 
 
 def toxicity(
@@ -365,7 +467,7 @@ def toxicity(
     model = character_model(docs, text_column)
     key, value = train(docs, labels, model, id_column, text_column, label_column)
     texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"), *carried(keep))
-    return texts.mapInArrow(_score(model, key, value), with_carried("id bigint, score double" + (", text string" if keep else ""), texts))
+    return texts.withColumn("score", _score(model, key, value)("text")).select("id", "score", *(["text", "row"] if keep else []))
 
 
 def held_out(id_column: str = "doc_id") -> Column:

@@ -272,3 +272,28 @@ def test_token_files_of_odd_rows_agree_with_the_library(spark):
         start += len(ids)
     got = [(r["id"], r["start"], r["n_ids"], r["crc32"]) for r in huffman.documents_of(spark, path).collect()]
     assert sorted(got, key=lambda r: r[1]) == want
+
+
+def test_spots_are_those_of_the_pattern():
+    random = np.random.default_rng(2)
+    signs = np.array(list("ab cdé.1!3-_*@ \n\t,A\"ß1 z z0٣ "))
+    for _ in range(500):
+        text = "".join(random.choice(signs, random.integers(0, 60)))
+        wanted = [(m.start(), m.end(), bool(m["run"])) for m in toxicity._disguised("az").finditer(text, overlapped=True)]
+        assert toxicity.spots(text, "az") == wanted
+
+
+def test_a_disguise_across_a_cut_is_decoded():
+    parts = [part for _, part, _, _ in toxicity.readings("1" * 60 + "x1d10t" + "1" * 90, np.zeros((28, 28)))]
+    assert any("x1d10t" in part for part in parts) and max(map(len, parts)) <= toxicity.LONGEST
+
+
+def test_contaminated_rows_without_an_id_go(spark, tmp_path):
+    import corpus_pipeline
+
+    words = " ".join(f"word{k}" for k in range(12))
+    spark.createDataFrame([(1, words)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, "see " + words), (None, "clean text"), (None, None), (1, words), (1, "other"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = [tuple(r) for r in corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()]
+    assert sorted(kept, key=str) == sorted([rows[k] for k in (1, 2, 4, 5)], key=str)
