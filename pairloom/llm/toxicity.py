@@ -395,20 +395,25 @@ def _bounds(model: np.ndarray):
 
 
 def _seen(model: np.ndarray, wanted: np.ndarray):
-    """id, text, toxic -> the left neighbours (kinds 0 clean, 1 toxic) and texts (kinds 2, 3) of the features ``wanted``, in order."""
+    """id, text, toxic -> the left neighbours (kinds 0 clean, 1 toxic) and texts (kinds 2, 3) of the features ``wanted``, in order.
+
+    A feature is named by four times its place among these, plus the kind: small numbers, as many rows are shuffled.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, left, own, mark in _batches(batches, model):
             key = key.view(np.int64)
             if not len(wanted):
                 continue
-            hit = wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key
-            key, left, own, mark = key[hit], left[hit].view(np.int64), own[hit], mark[hit].astype(np.int64)
+            place = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
+            hit = wanted[place] == key
+            place, left, own, mark = place[hit], left[hit].view(np.int64), own[hit], mark[hit].astype(np.int64)
             for kind, value in ((mark, left), (mark + 2, own)):
-                order = np.lexsort((value, kind, key))
-                k, t, v = key[order], kind[order], value[order]
-                new = np.append(True, (k[1:] != k[:-1]) | (t[1:] != t[:-1]) | (v[1:] != v[:-1])) if len(k) else np.zeros(0, bool)
-                yield pa.RecordBatch.from_arrays([pa.array(k[new]), pa.array(t[new]), pa.array(v[new])], names=["feature", "kind", "value"])
+                code = 4 * place + kind
+                order = np.lexsort((value, code))
+                c, v = code[order], value[order]
+                new = np.append(True, (c[1:] != c[:-1]) | (v[1:] != v[:-1])) if len(c) else np.zeros(0, bool)
+                yield pa.RecordBatch.from_arrays([pa.array(c[new]), pa.array(v[new])], names=["code", "value"])
 
     return run
 
@@ -428,13 +433,13 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, id_column: str
     classes = lambda c: F.bit_count(F.coalesce(F.bit_or(F.when(~F.col("toxic"), F.col(c))), F.lit(0)))
     bounds = rows.groupBy("feature").agg(F.sum(F.when(F.col("toxic"), F.col("n"))).alias("most"), F.least(classes("left"), classes("texts")).alias("least"))
     wanted = np.sort(bounds.where("most >= 3 and least < most").select("feature").toArrow()["feature"].to_numpy())
-    seen = chosen.mapInArrow(_seen(model, wanted), "feature bigint, kind bigint, value bigint").distinct()
-    number = lambda kind: F.count_if(F.col("kind") == kind)
-    counted = seen.groupBy("feature").agg(F.least(number(1), number(3)).alias("a"), F.least(number(0), number(2)).alias("b"))
+    seen = chosen.mapInArrow(_seen(model, wanted), "code bigint, value bigint").distinct()
+    number = lambda kind: F.count_if(F.col("code") % 4 == kind)
+    counted = seen.groupBy(F.shiftright("code", 2).alias("place")).agg(F.least(number(1), number(3)).alias("a"), F.least(number(0), number(2)).alias("b"))
     a, b = F.col("a"), F.col("b")
     score = (a + 0.5) / (a + b + 1) * a / (a + 1.5)
-    strong = counted.select("feature", score.alias("score")).where("score > 0.5").toArrow()
-    key, value = strong["feature"].to_numpy(), strong["score"].to_numpy()
+    strong = counted.select("place", score.alias("score")).where("score > 0.5").toArrow()
+    key, value = wanted[strong["place"].to_numpy()], strong["score"].to_numpy()
     order = np.argsort(key)
     return key[order], value[order]
 
