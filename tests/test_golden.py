@@ -278,3 +278,14 @@ def test_code_facts(spark):
     assert rows[5]["status"] in ("SyntaxError", "MemoryError", "RecursionError")
     assert (rows[0]["depth"], rows[0]["nodes"], rows[1]["depth"], rows[1]["nodes"]) == (5, 8, 6, 15)
     assert rows[1]["comments"] == ["# note"] and "doc" not in rows[1]["stripped"]
+
+
+def test_actions_of_a_batch_with_missing_and_broken_code(spark):
+    df = spark.createDataFrame([(1, "x = 1"), (2, None), (3, "x ="), (4, ""), (5, "pass")], "k int, c string").coalesce(1)
+    rows = {r["k"]: r for r in code.with_facts(df, "c", "actions", "comments", "depth").collect()}
+    assert [rows[k]["status"] for k in range(1, 6)] == ["ok", "missing", "SyntaxError", "empty", "ok"]
+    assert [rows[k]["actions"] for k in (2, 3, 4)] == [None] * 3 and rows[2]["comments"] is None
+    assert [tuple(a) for a in rows[5]["actions"]] == [("Pass", "-", None, None, None)]
+    assert [a["action"] for a in rows[1]["actions"]] == ["Assign", "Name", "x", "Store", "Reduce", "Num", "1"]
+    # The grammar is read once per class, not once per node.
+    assert syntax._declared(ast.Name) is syntax._declared(ast.Name)
