@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import ast
 import math
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from pairloom.functions import arrays, slots, syntax, text, values
-from pairloom.operators import batching, code, counts, metrics, runs, splits, vocab
+from pairloom.operators import batching, code, counts, metrics, runs, splits, vocab, windows
 
 
 def one(spark, column, **row):
@@ -289,3 +291,37 @@ def test_actions_of_a_batch_with_missing_and_broken_code(spark):
     assert [a["action"] for a in rows[1]["actions"]] == ["Assign", "Name", "x", "Store", "Reduce", "Num", "1"]
     # The grammar is read once per class, not once per node.
     assert syntax._declared(ast.Name) is syntax._declared(ast.Name)
+
+
+def test_tokenize_code_takes_every_character_as_the_first_pattern_did(spark):
+    """Each character of the Basic Multilingual Plane between words, and pairs of surrogates, against the pattern as it stands in the checks."""
+    old = F.regexp_extract_all(
+        F.regexp_replace(F.translate("c", "\"'", "``"), "([a-z])([A-Z])", "$1 $2"), F.lit(f"[A-Za-z0-9_]+|[^A-Za-z0-9_{text.BLANKS}]"), F.lit(0)
+    )
+    chars = [chr(i) for i in [*range(1, 0xD800), *range(0xE000, 0x10000), 0x1F600, 0x10FFFF]]
+    lines = ["aB" + "x_1".join(chars[k : k + 256]) + chars[k] for k in range(0, len(chars), 256)]
+    df = spark.createDataFrame([(line,) for line in [*lines, "", "a'b\"c"]], "c string")
+    rows = df.select(old.alias("old"), text.tokenize_code("c").alias("new"), F.col("c")).collect()
+    assert all(r["old"] == r["new"] for r in rows)
+    assert "translate(" not in str(text.tokenize_code("c"))  # it takes a string for each character
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 7])
+@pytest.mark.parametrize("last", [False, True])
+def test_window_counts_of_odd_items(spark, width, last):
+    """Against windows opened one by one: nulls, empty items, separators inside items, repeats, short, empty and missing lists."""
+    rng = random.Random(width)
+    odd = ["a", "b", "", None, "\x1f", "\x1e", "\x1d", "\x1dn", "\x1di", "a b", "é"]
+    lists = [[rng.choice(odd) for _ in range(rng.randrange(30))] for _ in range(300)] + [None, [], ["a"] * 50, ["a"] * 50]
+    short = width - 1 if last else width
+    expected = Counter(tuple(x[i : i + width]) for x in lists if x for i in range(len(x) - short))
+    df = spark.createDataFrame([(x,) for x in lists], "t array<string>").repartition(3)
+    for items in (50, windows.ITEMS):
+        rows = windows.count_windows(df, "t", width, last, items).collect()
+        assert len(rows) == len(expected) and {tuple(r["gram"]): r["freq"] for r in rows} == expected
+
+
+def test_windows_are_not_shuffled_one_by_one(spark):
+    df = spark.createDataFrame([([str(i) for i in range(5000)],)], "t array<string>")
+    plan = counts.ngram_counts(df, "t", 7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Aggregate" not in plan
