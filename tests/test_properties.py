@@ -186,3 +186,14 @@ def test_marginal_weights(spark):
     words = spark.createDataFrame([("a", 4, 1)], "word string, id bigint, freq bigint")
     rows = {r["id"]: (r["token"], round(r["weight"], 9)) for r in batching.marginal_weights(df, "t", "w", words, "k").collect()}
     assert rows == {4: ("a", 0.5), 3: ("u", 0.4)}
+
+
+def test_marginal_weights_of_repeated_and_missing_keys_are_worked_out_once(spark):
+    rows = [(1, ["u", "a", "u"], [0.1, 0.5, 0.2]), (1, ["v", "a"], [0.4, 0.25]), (None, ["x", "y"], [0.2, 0.2]), (3, [], []), (4, None, None), (5, ["a"], [0.5])]
+    df = spark.createDataFrame(rows, "k int, t array<string>, w array<double>")
+    words = spark.createDataFrame([("a", 4, 1)], "word string, id bigint, freq bigint")
+    found = batching.marginal_weights(df, "t", "w", words, "k")
+    got = sorted(((r["k"] or 0, r["id"], r["token"], round(r["weight"], 9)) for r in found.collect()))
+    # The unknown tokens of both rows with key 1 meet; every row keeps its own sum of a known one.
+    assert got == [(0, 3, "x", 0.2), (1, 3, "v", 0.4), (1, 4, "a", 0.25), (1, 4, "a", 0.5), (5, 4, "a", 0.5)]
+    assert "sort_array" not in found._jdf.queryExecution().optimizedPlan().toString()
