@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -169,7 +170,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 @cache
 def _encoder(path: str) -> Remembering:
-    return Remembering(vocabulary(path).encode_pieces)
+    return Remembering(lambda pieces: [array("i", ids).tobytes() for ids in vocabulary(path).encode_pieces(pieces)])
 
 
 def _encode(path: str):

@@ -13,6 +13,7 @@ defined order. An empty table makes a file without blocks. Other columns are not
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -133,10 +134,8 @@ def unpack(block: bytes, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarr
     return out.T.ravel()[:many], counts
 
 
-def _one_word(text: str) -> bool:
-    """Letters of the Latin blocks, with one blank before them or none: one word of the published split pattern, whatever its Unicode version."""
-    letters = text[1:] if text[0] == " " else text
-    return letters.isalpha() and (letters.isascii() or max(letters) < "\u0250")
+#: Letters of the Latin blocks, with one blank before them or none: one word of the published split pattern, whatever its Unicode version.
+_ONE_WORD = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+")
 
 
 @cache
@@ -153,22 +152,24 @@ def _encoder(path: str) -> tuple[Remembering, tuple[bytes, ...], int]:
     split = tokenizer.pre_tokenizer
     by_words = tokenizer.normalizer is None and isinstance(split, ByteLevel) and split.use_regex and not split.add_prefix_space
     letters = {b: c for c, b in byte_letters().items()}
-    model = tokenizer.model
-
-    def run(pieces: list[bytes]) -> list[list[int]]:
-        texts = [p.decode() for p in pieces]
-        out: list[list[int] | None] = [None] * len(pieces)
-        rest = []
-        for k, text in enumerate(texts):
-            if by_words and _one_word(text) and pieces[k] not in special:
-                out[k] = [t.id for t in model.tokenize(pieces[k].decode("latin-1").translate(letters))]
-            else:
-                rest.append(k)
-        if not rest:
-            return out
-        for k, coded in zip(rest, tokenizer.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False)):
-            out[k] = coded.ids
-        return out
+    blank, model = letters[0x20], tokenizer.model
+    own = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
+
+    def word(piece: bytes) -> bytes:
+        if piece.isascii():
+            text = piece.decode()
+            text = blank + text[1:] if text[0] == " " else text
+        else:
+            text = piece.decode("latin-1").translate(letters)
+        return b"".join([own[t.id] for t in model.tokenize(text)])
+
+    def run(pieces: list[bytes]) -> list[bytes]:
+        alike = [p for p in pieces if _ONE_WORD.fullmatch(p) and p not in special] if by_words else []
+        known = dict(zip(alike, map(word, alike)))
+        rest = [p for p in pieces if p not in known]
+        coded = tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)
+        known.update((p, b"".join([own[i] for i in c.ids])) for p, c in zip(rest, coded))
+        return [known[p] for p in pieces]
 
     return Remembering(run), special, tokenizer.get_vocab_size(with_added_tokens=True)
 

@@ -9,7 +9,6 @@ never taken for another. What was encoded lately is remembered, up to a fixed nu
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -17,7 +16,8 @@ import pyarrow as pa
 
 from pairloom.llm.words import SLICE, _powers, blocks, mix, utf8
 
-REMEMBERED = 100_000
+REMEMBERED = 500_000
+LONGEST = 128  # bytes of a piece that is remembered
 _MARK = np.uint64(0xD6E8FEB86659FD93)
 
 _WHITE = np.zeros(256, bool)
@@ -54,48 +54,102 @@ def cuts(data: np.ndarray, special: Sequence[bytes] = ()) -> np.ndarray:
     return cut
 
 
-def distinct(data: np.ndarray, begin: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """The distinct pieces, and which of them each piece is."""
+def _taken(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The parts of ``flat`` that begin at ``begin``, one after another."""
+    ends = np.cumsum(size)
+    return flat[np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
+def first_ones(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which piece is the first of each distinct one, their hashes, and which of the distinct ones each piece is."""
     end = np.append(begin[1:], len(data))
     up, down = _powers(max(SLICE, 1 << (len(data) - 1).bit_length()))
     length = end - begin
     keys = mix(np.add.reduceat(_VALUE[data] * up[: len(data)], begin) * down[begin] + length.astype(np.uint64))
     _, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
     same = first[inverse]
-    if (length[same] != length).any() or (data[np.repeat(begin[same] - begin, length) + np.arange(len(data))] != data).any():
+    if (length[same] != length).any() or (_taken(data, begin[same], length) != data).any():
         raw, number = data.tobytes(), {}
         inverse = np.array([number.setdefault(raw[b:e], len(number)) for b, e in zip(begin, end)])
-        return list(number), inverse
-    raw = data.tobytes()
+        first = np.unique(inverse, return_index=True)[1]
+    return first, keys[first], inverse
+
+
+def distinct(data: np.ndarray, begin: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct pieces, and which of them each piece is."""
+    first, _, inverse = first_ones(data, begin)
+    raw, end = data.tobytes(), np.append(begin[1:], len(data))
     return [raw[b:e] for b, e in zip(begin[first].tolist(), end[first].tolist())], inverse
 
 
 class Remembering:
-    """Encodes distinct pieces; keeps the latest in two generations, so that memory stays bounded."""
-
-    def __init__(self, encode: Callable[[list[bytes]], Sequence[list[int]]]) -> None:
-        self.encode = encode
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def __call__(self, found: list[bytes]) -> list[bytes]:
-        """Ids of each piece as little-endian 32-bit integers."""
-        out = [self.new.get(p) for p in found]
-        missing = [k for k, ids in enumerate(out) if ids is None]
-        ask = []
-        for k in missing:
-            known = self.old.get(found[k])
-            if known is None:
-                ask.append(k)
-            else:
-                out[k] = self.new[found[k]] = known
-        for at in range(0, len(ask), 20_000):
-            part = ask[at : at + 20_000]
-            for k, ids in zip(part, self.encode([found[k] for k in part])):
-                out[k] = self.new[found[k]] = array("i", ids).tobytes()
-        if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
-        return out
+    """Encodes distinct pieces; keeps the latest of them in arrays ordered by hash, so that memory stays bounded.
+
+    ``encode`` gives the ids of each piece as little-endian 32-bit integers. What is kept is compared byte by byte before it is taken.
+    """
+
+    def __init__(self, encode: Callable[[list[bytes]], Sequence[bytes]], most: int = REMEMBERED) -> None:
+        self.encode, self.most, self.calls = encode, most, 0
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes in order, and where what they stand for is kept
+        self.used = np.zeros(0, np.int64)  # the last call that asked for it
+        self.data, self.begin, self.size = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.start, self.many = np.zeros(0, "<i4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _known(self, keys: np.ndarray, data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each piece is kept, and where."""
+        if not len(self.keys):
+            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        near = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        place = self.place[near]
+        hit = (self.keys[near] == keys) & (self.size[place] == size)
+        at = np.flatnonzero(hit)
+        wrong = np.flatnonzero(_taken(data, begin[at], size[at]) != _taken(self.data, self.begin[place[at]], size[at]))
+        hit[at[np.searchsorted(np.cumsum(size[at]), wrong, "right")]] = False
+        return hit, place
+
+    def __call__(self, keys: np.ndarray, data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and for each piece where its ids begin there and how many they are."""
+        self.calls += 1
+        hit, place = self._known(keys, data, begin, size)
+        miss = np.flatnonzero(~hit)
+        raw, coded = data.tobytes() if len(miss) else b"", []
+        for at in range(0, len(miss), 20_000):
+            part = miss[at : at + 20_000]
+            coded += self.encode([raw[b : b + n] for b, n in zip(begin[part].tolist(), size[part].tolist())])
+        made = np.frombuffer(b"".join(coded), "<i4")
+        many, start = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        many[hit], start[hit] = self.many[place[hit]], self.start[place[hit]]
+        many[miss] = [len(c) >> 2 for c in coded]
+        start[miss] = len(self.ids) + np.cumsum(many[miss]) - many[miss]
+        ids = np.concatenate([self.ids, made])
+        self.used[place[hit]] = self.calls
+        keep = miss[size[miss] <= LONGEST]
+        keep = keep[np.unique(keys[keep], return_index=True)[1]]
+        keep = keep[~np.isin(keys[keep], self.keys[np.minimum(np.searchsorted(self.keys, keys[keep]), len(self.keys) - 1)])] if len(self.keys) else keep
+        self._keep(keys[keep], _taken(data, begin[keep], size[keep]), size[keep], _taken(ids, start[keep], many[keep]), many[keep])
+        return ids, start, many
+
+    def _keep(self, keys: np.ndarray, data: np.ndarray, size: np.ndarray, ids: np.ndarray, many: np.ndarray) -> None:
+        at = np.searchsorted(self.keys, keys)
+        self.place = np.insert(self.place, at, len(self.keys) + np.arange(len(keys)))
+        self.keys = np.insert(self.keys, at, keys)
+        self.used = np.append(self.used, np.full(len(keys), self.calls))
+        self.begin, self.size = np.append(self.begin, len(self.data) + np.cumsum(size) - size), np.append(self.size, size)
+        self.start, self.many = np.append(self.start, len(self.ids) + np.cumsum(many) - many), np.append(self.many, many)
+        self.data, self.ids = np.append(self.data, data), np.append(self.ids, ids)
+        if len(self.keys) > self.most:
+            self._forget()
+
+    def _forget(self) -> None:
+        """Keep the half that was asked for last."""
+        stay = np.zeros(len(self.used), bool)
+        stay[np.argsort(self.used, kind="stable")[len(self.used) // 2 :]] = True
+        kept = np.flatnonzero(stay)
+        self.data, self.ids = _taken(self.data, self.begin[kept], self.size[kept]), _taken(self.ids, self.start[kept], self.many[kept])
+        self.used, self.size, self.many = self.used[kept], self.size[kept], self.many[kept]
+        self.begin, self.start = np.cumsum(self.size) - self.size, np.cumsum(self.many) - self.many
+        left = stay[self.place]
+        self.keys, self.place = self.keys[left], (np.cumsum(stay) - 1)[self.place[left]]
 
 
 def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
@@ -126,14 +180,11 @@ def encode_texts(texts: pa.Array, encoder: Remembering, special: Sequence[bytes]
             cut[here] = True
             cut[0] = True
             begin = np.flatnonzero(cut)
-            found, which = distinct(part, begin)
-            coded = encoder(found)
-            flat = np.frombuffer(b"".join(coded), "<i4")
-            many = np.array([len(c) >> 2 for c in coded])
-            starts = np.cumsum(many) - many
+            one, keys, which = first_ones(part, begin)
+            flat, starts, many = encoder(keys, part, begin[one], np.append(begin[1:], len(part))[one] - begin[one])
             counts = many[which]
             ends = np.cumsum(counts)
-            ids = flat[np.repeat(starts[which] - (ends - counts), counts) + np.arange(int(ends[-1]))]
+            ids = _taken(flat, starts[which], counts)
         else:
             begin, ends, counts, ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<i4")
         if high < offsets[last]:  # a part of one long text
