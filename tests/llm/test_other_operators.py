@@ -169,3 +169,12 @@ def test_pipeline(spark, folder):
     final = {r["doc_id"]: r for r in pipeline.run(spark, folder).collect()}
     assert {i: r["text"] for i, r in final.items()} == {r["doc_id"]: r["text"] for r in left.collect()}
     assert all(r["n_tokens"] == len(r["ids"]) for r in final.values())
+
+
+def test_tokens_take_one_python_worker_for_each_task(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "some words, naïve"), (2, None), (3, "")], "doc_id bigint, text string")
+    coded = corpus_pipeline.tokenize(spark, docs, "")
+    assert coded._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r["doc_id"]: (r["n_tokens"] > 0, r["text"]) for r in coded.collect()} == {1: (True, "some words, naïve"), 2: (False, ""), 3: (False, "")}
